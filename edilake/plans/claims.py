@@ -858,7 +858,7 @@ def write_nested_json(spark, sf_dir):
     back = spark.read.text(folder)
     return back.select(_control_number('"id":"ISA13","value":"([0-9]+)"').alias("file_id"),
                        _occurrences('"segments":[').alias("n_loops"), _occurrences('"elements":[').alias("n_segments"),
-                       F.substring("value", 1, 41).alias("opening"))
+                       F.substring("value", 1, 40).alias("opening"))
 
 
 @query("write_nested_xml", NESTED.replace("'{}'", "'<loop id=\"ISA_LOOP\"><segments><segment id=\"ISA\">'"))
@@ -869,4 +869,4 @@ def write_nested_xml(spark, sf_dir):
     back = spark.read.text(folder)
     return back.select(_control_number('<element id="ISA13">([0-9]+)<').alias("file_id"),
                        _occurrences("<segments>").alias("n_loops"), _occurrences("<elements>").alias("n_segments"),
-                       F.substring("value", 1, 49).alias("opening"))
+                       F.substring("value", 1, 48).alias("opening"))

@@ -156,7 +156,7 @@ def _trailer_text(t: _Text, n_orders: Column, n_lines: Column) -> Column:
 
 def _joined(*order: str) -> Column:
     """The texts of a group in the given order."""
-    rows = F.array_sort(F.collect_list(F.struct(*order, "text")))
+    rows = F.sort_array(F.collect_list(F.struct(*order, "text")))
     return F.array_join(F.transform(rows, lambda r: r["text"]), "")
 
 

@@ -22,6 +22,7 @@ ISA_LENGTH, ELEMENT_AT, COMPOSITE_AT, SEGMENT_AT = 106, 4, 105, 106
 NOT_A_DELIMITER = r"[\p{L}\p{Nd}\s\x1c-\x1f]"
 
 BLANKS = " \t\r\n"
+BLANK_RUN = r"[\x00-\x20]*+"
 
 # A part longer than this many segments is cut further; about half a megabyte of text.
 SLICE_SEGMENTS = 16384
@@ -56,8 +57,10 @@ def escaped(separator: Column) -> Column:
 
 
 def split_trimmed(text: Column, separator: Column) -> Column:
-    """Split so that trailing blanks vanish and inner ones stay."""
-    return F.split(F.rtrim(text, separator), escaped(separator))
+    """Split so that trailing blanks vanish and inner ones stay. Trimming by a given character is slow, so only
+    texts that end with the separator go through it."""
+    text = F.when(F.endswith(text, separator), F.rtrim(text, separator)).otherwise(text)
+    return F.split(text, escaped(separator))
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -154,8 +157,10 @@ def quarantine(framed: DataFrame, file_type: str | None = None) -> DataFrame:
 
 def cut_segments(framed: DataFrame) -> DataFrame:
     """the readable parts with ``segs``, the array of their trimmed segments; long parts become slices."""
-    pieces = F.split("content", F.concat(escaped(F.col("sep.seg")), F.lit("(\r\n|\n)?")))
-    segs = F.filter(F.transform(pieces, lambda s: F.btrim(s, F.lit(BLANKS))), lambda s: s != "")
+    # blanks and line breaks around a terminator go with it, which trims every segment but the outer ends
+    pieces = F.split(F.btrim("content", F.lit(BLANKS)),
+                     F.concat(F.lit(BLANK_RUN), escaped(F.col("sep.seg")), F.lit(BLANK_RUN)))
+    segs = F.filter(pieces, lambda s: s != "")
     cut = framed.where(F.col("status") == OK).select("file_id", "spec_id", "part", "multi", "sep", segs.alias("segs"))
     whole = cut.where(~F.col("multi"))
     starts = F.when(F.size("segs") > SLICE_SEGMENTS, F.sequence(F.lit(1), F.size("segs"), F.lit(SLICE_SEGMENTS))

@@ -87,7 +87,7 @@ def _entry_states(parts: DataFrame, n_states: int, automaton: Automaton | None)
         return F.concat(F.array(initial.cast(item)), F.slice(after, F.lit(1), F.greatest(F.size(after) - 1, F.lit(0))))
 
     blocks = (summary.groupBy("file_id", "blk")
-              .agg(F.array_sort(F.collect_list(F.struct("part", "n", "exits", "env"))).alias("items")))
+              .agg(F.sort_array(F.collect_list(F.struct("part", "n", "exits", "env"))).alias("items")))
     composed = blocks.select(
         "file_id", "blk",
         F.aggregate("items", F.lit(0).cast("bigint"), lambda a, p: a + p["n"]).alias("n"),
@@ -95,7 +95,7 @@ def _entry_states(parts: DataFrame, n_states: int, automaton: Automaton | None)
                     lambda v, p: F.transform(v, lambda s: F.element_at(p["exits"], s + 1))).alias("exits"),
         F.aggregate("items", F.lit(0).cast("bigint"), lambda a, p: _join_envelopes(a, p["env"])).alias("env"))
     files = (composed.groupBy("file_id")
-             .agg(F.array_sort(F.collect_list(F.struct("blk", "n", "exits", "env"))).alias("items")))
+             .agg(F.sort_array(F.collect_list(F.struct("blk", "n", "exits", "env"))).alias("items")))
     block_entry = (files.withColumn("entry", entries(F.col("items"), start()))
                    .select("file_id", F.inline(F.arrays_zip(F.col("items.blk").alias("blk"), F.col("entry"))))
                    .select("file_id", "blk", "entry"))

@@ -218,21 +218,86 @@ def check_required_child_loops(loops: DataFrame, spec: Spec) -> DataFrame:
                                         F.lit(" iteration #"), F.col("iteration")))
 
 
-def collect_errors(located: DataFrame, spec: Spec, unreadable: DataFrame | None = None, compat: bool = False) -> DataFrame:
-    """Every error, duplicates kept. Sort by ``file_id, pos`` to read them in document order."""
-    loops = link_parents(located)
+def check_segments(located: DataFrame, spec: Spec, compat: bool = False) -> DataFrame:
+    """V1 and V3-V7 together: one scan and one shuffle.
+
+    Matching and the search for missing elements happen before the shuffle, so that only numbers travel, by loop
+    instance. Windows over the instance then give the spec position before each segment and the spec segments in
+    use; the first row of an instance carries the checks of the whole instance.
+    """
+    width = max(len(node.segments) for node in spec.by_id().values())
+    expected = [(loop_id, [(i, s.xid, s.usage == REQUIRED, -1 if s.max_use == UNBOUNDED else int(s.max_use))
+                           for i, s in enumerate(node.segments)])
+                for loop_id, node in spec.by_id().items() if node.segments]
+    table = F.broadcast(located.sparkSession.createDataFrame(expected, PROFILE_DDL))
+
+    def gaps(positions: str, code: str, noun: str) -> Column:
+        def at(rule: Column) -> Column:
+            return F.get(F.filter(rule[positions], lambda p: _token(F.col("elements"), p) == ""), F.lit(0))
+
+        def text(x: Column) -> Column:
+            return F.when(x["at"] >= F.size("elements"),
+                          F.concat(F.lit(f" {noun} at position "), x["at"], F.lit(" does not exist!!!!"))
+                          ).otherwise(F.concat(F.lit(f" is missing a required {noun} at "), x["at"]))
+
+        found = F.filter(F.transform("rules", lambda r: F.struct(r["seg_no"].alias("rule_no"), at(r).alias("at"))),
+                         lambda x: x["at"].isNotNull())
+        return F.transform(found, lambda x: F.struct(x["rule_no"].alias("rule_no"), F.lit(code).alias("code"), text(x).alias("text")))
+
     matched = match_segments(located, spec, compat)
-    profile = profile_loops(matched, spec)
+    missing = F.concat(gaps("elements", "V6", "element"), gaps("composites", "V7", "composite element"))
+    rows = matched.select(
+        "file_id", "isa_no", "loop_id", "loop_inst", "pos", "seg_id", "seg_no", "spec_pos",
+        F.coalesce(missing, F.array().cast("array<struct<rule_no:int,code:string,text:string>>")).alias("gaps"))
+    whole = Window.partitionBy("file_id", "loop_inst")
+    so_far = whole.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select(
+        "*",
+        F.last("spec_pos", ignorenulls=True).over(so_far).alias("before"),
+        (F.col("pos") == F.min("pos").over(whole)).alias("is_first"),
+        F.array(*[F.count(F.when(F.col("seg_no") == k, 1)).over(whole) for k in range(width)]).alias("counts"))
+    rows = rows.join(table, "loop_id", "left")
+
+    def item(code: Column, message: Column) -> Column:
+        return F.struct(code.alias("code"), message.alias("message"))
+
+    none = F.array().cast("array<struct<code:string,message:string>>")
+    where = F.concat(F.lit(" in loop "), F.col("loop_id"))
+    unknown = F.when(F.col("seg_no").isNull(), F.array(item(
+        F.lit("V1"), F.concat(F.lit("Unable to find a matching segment format in loop "), F.col("loop_id"))))).otherwise(none)
+    order = F.when(F.col("before") > F.col("spec_pos"), F.array(item(F.lit("V3"), F.concat(
+        F.lit("Segment "), F.col("seg_id"), where, F.lit(" is not in the correct position."))))).otherwise(none)
+    absent = F.transform(
+        F.filter("gaps", lambda g: F.get("counts", g["rule_no"]) > 0),
+        lambda g: item(g["code"], F.concat(F.col("seg_id"), where, g["text"])))
+
+    def over(e: Column) -> Column:
+        n = F.get("counts", e["seg_no"])
+        bad = (e["max_use"] >= 0) & (n > e["max_use"])
+        return bad | ((e["max_use"] < 0) & (n == 0)) if compat else bad
+
+    def lacking(e: Column) -> Column:
+        return e["required"] & (F.get("counts", e["seg_no"]) == 0) & ~e["seg_id"].isin(*UNCOUNTED)
+
+    instance = F.when(F.col("is_first"), F.concat(
+        F.transform(F.filter("expected", lacking), lambda e: item(
+            F.lit("V4"), F.concat(e["seg_id"], where, F.lit(" is required but not found")))),
+        F.transform(F.filter("expected", over), lambda e: item(
+            F.lit("V5"), F.concat(e["seg_id"], where, F.lit(" appears too many times")))))).otherwise(none)
+    return rows.select("file_id", "isa_no", "loop_id", "loop_inst", "pos", F.lit("error").alias("severity"),
+                       F.inline(F.concat(unknown, order, absent, F.coalesce(instance, none))))
+
+
+def collect_errors(located: DataFrame, spec: Spec, unreadable: DataFrame | None = None, compat: bool = False,
+                   loops: DataFrame | None = None) -> DataFrame:
+    """Every error, duplicates kept. Sort by ``file_id, pos`` to read them in document order. Pass ``loops``
+    if they are stored already."""
+    loops = link_parents(located) if loops is None else loops
     fatal = structural_faults(located, spec)
     whole = without_fatal(loops, fatal)
     found = [
         fatal,
-        check_known_segment(matched),
-        check_order(matched),
-        check_required_segments(profile, spec),
-        check_segment_max_use(profile, spec, compat),
-        check_required_elements(matched, profile),
-        check_required_composites(matched, profile),
+        check_segments(located, spec, compat),
         check_loop_repeats(whole, spec, compat),
         check_required_child_loops(whole, spec),
     ]

@@ -29,7 +29,7 @@ def segment_text(elements: Column | str = "elements", separator: Column | None =
 def assemble(rows: DataFrame, order: list[str], end: Column | None = None) -> DataFrame:
     """Join ``text`` of the rows of each interchange in the given order: ``file_id, isa_no, piece, text``."""
     def joined() -> Column:
-        sorted_rows = F.array_sort(F.collect_list(F.struct(*order, "text")))
+        sorted_rows = F.sort_array(F.collect_list(F.struct(*order, "text")))
         return F.array_join(F.transform(sorted_rows, lambda r: r["text"]), "")
 
     columns = ["file_id", "isa_no", *order, "text"]
@@ -174,7 +174,7 @@ def _nested(located: DataFrame, loops: DataFrame, segment: Column, between: str,
             comma: str) -> DataFrame:
     """Open each loop at its place, with its own segments, and close the loops that ended before it."""
     own = (kept(located).select("file_id", "loop_inst", "pos", segment.alias("seg"))
-           .groupBy("file_id", "loop_inst").agg(F.array_sort(F.collect_list(F.struct("pos", "seg"))).alias("segs")))
+           .groupBy("file_id", "loop_inst").agg(F.sort_array(F.collect_list(F.struct("pos", "seg"))).alias("segs")))
     body = F.array_join(F.transform(F.coalesce("segs", F.array().cast("array<struct<pos:bigint,seg:string>>")),
                                     lambda s: s["seg"]), between)
     opened = (_closed_before(loops).join(own, ["file_id", "loop_inst"], "left")

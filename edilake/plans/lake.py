@@ -66,7 +66,8 @@ class Lake:
         return self._store(self.validate(), "errors")
 
     def validate(self) -> DataFrame:
-        return validation.collect_errors(self.located, self.spec, framing.quarantine(self.framed, self.spec.spec_id))
+        unreadable = framing.quarantine(self.framed, self.spec.spec_id)
+        return validation.collect_errors(self.located, self.spec, unreadable, loops=self.loops)
 
 
 _lakes: dict[tuple[str, str, str], Lake] = {}

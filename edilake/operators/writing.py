@@ -27,19 +27,21 @@ def segment_text(elements: Column | str = "elements", separator: Column | None =
 
 
 def assemble(rows: DataFrame, order: list[str], end: Column | None = None) -> DataFrame:
-    """Join ``text`` of the rows of each interchange in the given order: ``file_id, isa_no, piece, text``."""
+    """Join ``text`` of the rows of each interchange in the given order: ``file_id, isa_no, multi, piece, text``.
+
+    Pieces of a long document have ``multi`` set; put together in the order of ``piece`` they are its text."""
     def joined() -> Column:
         sorted_rows = F.sort_array(F.collect_list(F.struct(*order, "text")))
         return F.array_join(F.transform(sorted_rows, lambda r: r["text"]), "")
 
     columns = ["file_id", "isa_no", *order, "text"]
     whole = (rows.where(~F.col("multi")).select(*columns).groupBy("file_id", "isa_no").agg(joined().alias("text"))
-             .select("file_id", "isa_no", F.lit(0).cast("bigint").alias("piece"), "text"))
+             .select("file_id", "isa_no", F.lit(False).alias("multi"), F.lit(0).cast("bigint").alias("piece"), "text"))
     # a range partition of a global sort, cut every ROWS_PER_PIECE rows
     ranged = (rows.where("multi").select(*columns).repartitionByRange("file_id", "isa_no", *order)
               .sortWithinPartitions("file_id", "isa_no", *order)
               .withColumn("piece", F.floor(F.monotonically_increasing_id() / ROWS_PER_PIECE)))
-    pieces = ranged.groupBy("file_id", "isa_no", "piece").agg(joined().alias("text"))
+    pieces = ranged.groupBy("file_id", "isa_no", "piece").agg(joined().alias("text")).withColumn("multi", F.lit(True))
     out = whole.unionByName(pieces.select(*whole.columns))
     if end is None:
         return out

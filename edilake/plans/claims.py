@@ -785,31 +785,33 @@ def _folder(spark: SparkSession, name: str) -> str:
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
 
 
-@query("read_edi", sql(f"""
-SELECT CAST(c_custkey AS VARCHAR) AS file_id, CAST(length({WHOLE}) AS BIGINT) AS n_chars,
-       CASE WHEN c_custkey % 7 = 0 THEN '|' ELSE '~' END AS seg FROM texts""", TEXTS))
+@query("read_edi", sql("""
+SELECT c_custkey AS control, 19 + 2 * n_orders + 3 * n_lines AS n, CASE WHEN c_custkey % 7 = 0 THEN '|' ELSE '~' END AS seg
+FROM docs"""))
 def read_edi(spark, sf_dir):
     folder = _folder(spark, "edi")
-    x = lake(spark, sf_dir)
-    files.write_texts(writing.write_spec_order(x.located, SPEC), folder)
-    raw = framing.frame(files.read_edi(spark, f"{folder}/*/*.txt"), SPEC.spec_id)
-    return raw.select(F.regexp_extract("path", "file_id=([^/]+)", 1).alias("file_id"),
-                      F.length(F.btrim("content", F.lit("\n"))).cast("bigint").alias("n_chars"), "sep.seg")
+    files.write_edi(writing.write_spec_order(lake(spark, sf_dir).located, SPEC), folder)
+    framed = framing.frame(files.read_edi(spark, f"{folder}/whole/*/*.txt"), SPEC.spec_id)
+    rows = loops.number_envelopes(framing.cut_elements(framing.cut_segments(framed)))
+    return rows.groupBy("file_id", "isa_no", "sep.seg").agg(
+        F.max(F.when(F.col("seg_id") == "ISA", element(13).cast("bigint"))).alias("control"), F.count("*").alias("n"),
+    ).select("control", "n", "seg")
 
 
 @query("read_edi_long", sql("""
-SELECT CAST(c_custkey AS VARCHAR) AS file_id, loop_id, CAST(n AS BIGINT) AS n FROM (
-  SELECT c_custkey, '2300' AS loop_id, n_orders AS n FROM docs WHERE c_custkey % 7 <> 0
+SELECT control, loop_id, CAST(n AS BIGINT) AS n FROM (
+  SELECT c_custkey AS control, '2300' AS loop_id, n_orders AS n FROM docs WHERE c_custkey % 7 <> 0
   UNION ALL SELECT c_custkey, '2400', n_lines FROM docs WHERE c_custkey % 7 <> 0 AND n_lines > 0) t"""))
 def read_edi_long(spark, sf_dir):
-    # the reader for files of any length takes one segment separator; files with another one fail F1 or F2
+    # the reader for files of any length takes one segment separator
     folder = _folder(spark, "long")
-    x = lake(spark, sf_dir)
-    files.write_texts(writing.write_spec_order(x.located, SPEC), folder)
-    framed = framing.frame(files.read_edi_long(spark, f"{folder}/*/*.txt", "~"), SPEC.spec_id)
-    located = loops.assign_loops(framing.cut_elements(framing.cut_segments(framed.where(F.col("sep.seg") == "~"))), SPEC)
+    files.write_edi(writing.write_spec_order(lake(spark, sf_dir).located, SPEC), folder)
+    raw = files.read_edi_long(spark, f"{folder}/{files.delimiter_folder('~', '*', ':')}", "~")
+    located = loops.assign_loops(framing.cut_elements(framing.cut_segments(framing.frame(raw, SPEC.spec_id))), SPEC)
+    roots = located.where(F.col("seg_id") == "ISA").select("file_id", "isa_no", element(13).cast("bigint").alias("control"))
     starts = located.where((F.col("role") == "start") & F.col("loop_id").isin("2300", "2400"))
-    return starts.groupBy(F.regexp_extract("file_id", "file_id=([^/]+)", 1).alias("file_id"), "loop_id").agg(F.count("*").alias("n"))
+    return starts.groupBy("file_id", "isa_no", "loop_id").agg(F.count("*").alias("n")).join(roots, ["file_id", "isa_no"]).select(
+        "control", "loop_id", "n")
 
 
 @query("read_edi_stream", sql("""
@@ -817,9 +819,8 @@ SELECT loop_id, CAST(n AS BIGINT) AS n FROM (
   SELECT '2300' AS loop_id, count(*) AS n FROM orders UNION ALL SELECT '2400', count(*) FROM lineitem) t"""))
 def read_edi_stream(spark, sf_dir):
     folder = _folder(spark, "stream")
-    x = lake(spark, sf_dir)
-    files.write_texts(writing.write_spec_order(x.located, SPEC), f"{folder}/in")
-    raw = landing.read_edi_stream(spark, f"{folder}/in/*/*.txt")
+    files.write_edi(writing.write_spec_order(lake(spark, sf_dir).located, SPEC), f"{folder}/in")
+    raw = landing.read_edi_stream(spark, f"{folder}/in/whole/*/*.txt")
     landing.parse_stream(raw, SPEC, f"{folder}/table", f"{folder}/state").awaitTermination()
     starts = spark.read.parquet(f"{folder}/table").where((F.col("role") == "start") & F.col("loop_id").isin("2300", "2400"))
     return starts.groupBy("loop_id").agg(F.count("*").alias("n"))

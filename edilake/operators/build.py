@@ -275,7 +275,7 @@ def _long_documents(customer: DataFrame, orders: DataFrame, lineitem: DataFrame,
     at = F.lit(LONG_CLAIMS) + F.shiftleft(F.col("o_orderkey"), CHUNK_BITS)
     claim = long_orders.join(names, by_customer).withColumn("text", _claim_text(t, v))
     claim = _raw(claim, at, True, v, F.col("text"))
-    chunked = lineitem.join(long_keys, "l_orderkey", "left_semi").withColumn("chunk", _source_chunk(lineitem))
+    chunked = lineitem.withColumn("chunk", _source_chunk()).join(long_keys, "l_orderkey", "left_semi")
     # the long orders are few (bounded by total / limit), so the lines need no shuffle on the hot key
     texts = line_texts(chunked, F.broadcast(long_orders.select("o_orderkey", "o_custkey")), v)
     lines = texts.groupBy("o_orderkey", "o_custkey", "chunk").agg(_joined(*LINE_ORDER).alias("body"))
@@ -283,8 +283,8 @@ def _long_documents(customer: DataFrame, orders: DataFrame, lineitem: DataFrame,
     return ends.unionByName(short).unionByName(claim).unionByName(lines)
 
 
-def _source_chunk(table: DataFrame) -> Column:
+def _source_chunk() -> Column:
     """A number from 1 up that is equal for about ``ROWS_PER_CHUNK`` neighbouring rows of the source. It depends
-    on the stored row only, so a retried task gives the same number."""
+    on the stored row only, so a retried task gives the same number; the table must come straight from files."""
     where = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / ROWS_PER_CHUNK))
     return F.pmod(where, F.lit((1 << CHUNK_BITS) - 1)) + 1

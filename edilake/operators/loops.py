@@ -105,6 +105,12 @@ def _entry_states(parts: DataFrame, n_states: int, automaton: Automaton | None)
             .select("file_id", "part", "entry.base", "entry.state", "entry.env"))
 
 
+def _only_short(parts: DataFrame) -> DataFrame:
+    """Fail, rather than give wrong loops, if a part of a long document turns up after all."""
+    fail = F.raise_error(F.lit("a document has several parts; use long_documents=True")).cast("boolean")
+    return parts.withColumn("multi", F.when(F.col("multi"), fail).otherwise(F.lit(False)))
+
+
 def _nothing_before(parts: DataFrame) -> DataFrame:
     return parts.select(
         "*", F.lit(0).cast("bigint").alias("base"), F.lit(0).alias("state"), F.lit(0).cast("bigint").alias("env"))
@@ -131,7 +137,7 @@ def number_envelopes(parts: DataFrame, long_documents: bool = True) -> DataFrame
         single, multi = _with_entry(parts, 1, None)
         both = single.unionByName(multi)
     else:
-        both = _nothing_before(parts)
+        both = _nothing_before(_only_short(parts))
     env = running_state(F.col("elems"), F.col("env"), _count_envelope, "bigint")
     rows = both.withColumn("envs", env).select(
         "file_id", "spec_id", "part", "multi", "sep", "base", F.posexplode(F.arrays_zip("elems", "envs")).alias("i", "x"))
@@ -182,7 +188,7 @@ def assign_loops(parts: DataFrame, spec: Spec, long_documents: bool = True) -> D
         multi = multi.join(opened, ["file_id", "part"]).select(*keep, real.alias("walk"), "envs")
         both = single.select(*keep, walk, envs).unionByName(multi)
     else:
-        both = _nothing_before(parts).select(*keep, walk, envs)
+        both = _nothing_before(_only_short(parts)).select(*keep, walk, envs)
     rows = both.select(*[c for c in keep if c != "elems"],
                        F.posexplode(F.arrays_zip("elems", "walk", "envs")).alias("i", "x"))
     move, env = F.col("x.walk.move"), F.col("x.envs")

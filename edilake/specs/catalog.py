@@ -206,7 +206,7 @@ def professional_claim() -> Spec:
         party("2010CA", "QC", "Patient", "030", "1", street("020"), city("030"), demographics("040"), usage="R"),
         claim_loop())
     subscriber = loop(
-        "2000B", "Subscriber Level", "R", "040", ">1", level("22", "Subscriber Level"),
+        "2000B", "Subscriber Level", "R", "060", ">1", level("22", "Subscriber Level"),
         seg("SBR", "Subscriber Information", "R", "020", "1", ele(1, "Payer Order", "R", "P S T"), ele(2, "Relationship"),
             ele(3, "Group"), ele(9, "Filing Code")),
         party("2010BA", "IL", "Subscriber", "030", "1", street("020"), city("030"), demographics("040"), ref("050"), usage="R"),
@@ -286,7 +286,7 @@ def claim_acknowledgement() -> Spec:
 
 
 def eligibility_response() -> Spec:
-    benefit = loop("2110C", "Benefit", "S", "040", ">1",
+    benefit = loop("2110C", "Benefit", "S", "070", ">1",
                    seg("EB", "Benefit Information", "R", "010", "1", ele(1, "Benefit Code", "R")),
                    date_seg("Benefit Date", "S", "020", "20"),
                    seg("LS", "Loop Header", "S", "030", "1", ele(1, "Loop Identifier", "R")),

@@ -51,7 +51,7 @@ def parts(spark, documents, file_type=SPEC.spec_id):
     return framing.cut_elements(framing.cut_segments(framing.frame(raw(spark, documents), file_type)))
 
 
-def locate(spark, documents, spec=SPEC, long_documents=True):
+def locate(spark, documents, spec=SPEC, long_documents=False):
     return loops.assign_loops(parts(spark, documents, spec.spec_id), spec, long_documents)
 
 

@@ -13,6 +13,8 @@ ever sees more of one document than one part, or ``FANOUT`` summaries.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from ..plans.automaton import (
     BODY, DROPPED, END, FAULT_GRANDPARENT_MISSING, FAULT_NEVER_OPENED, FAULT_PARENT_MISSING, FAULT_UNKNOWN_LOOP,
     START, Automaton, automaton_for, move_fault, move_role, move_state, move_wrapper)
 from ..plans.walk import exit_states, walk_parts
+from ..session import store
 from ..specs.model import Spec
 
 FANOUT = 1024
@@ -43,13 +46,17 @@ def _st(env: Column) -> Column:
     return env.bitwiseAND(F.lit(ST_MASK)).cast("int")
 
 
-def _count_envelope(env: Column, elements: Column) -> Column:
+def _marks() -> Column:
+    """1 for each ISA, 2 for each GS, 3 for each ST, else 0: all that the envelope counters need of a segment."""
+    return F.transform("elems", lambda e: F.when(e[0] == "ISA", 1).when(e[0] == "GS", 2).when(e[0] == "ST", 3).otherwise(0))
+
+
+def _count_envelope(env: Column, mark: Column) -> Column:
     """An ISA starts a new interchange and resets the groups; a GS starts a group and resets the sets."""
-    seg_id = F.get(elements, F.lit(0))
-    return (F.when(seg_id == "ISA", F.shiftleft(F.shiftright(env, 40) + 1, 40))
-            .when(seg_id == "GS", F.shiftleft(F.shiftright(env, 20) + 1, 20))
-            .when(seg_id == "ST", env + 1)
-            .otherwise(env))
+    return (F.when(mark == 0, env)
+            .when(mark == 1, F.shiftleft(F.shiftright(env, 40) + 1, 40))
+            .when(mark == 2, F.shiftleft(F.shiftright(env, 20) + 1, 20))
+            .otherwise(env + 1))
 
 
 def _join_envelopes(before: Column, after: Column) -> Column:
@@ -65,10 +72,10 @@ def _join_envelopes(before: Column, after: Column) -> Column:
 
 def _entry_states(parts: DataFrame, n_states: int, automaton: Automaton | None) -> DataFrame:
     """(file_id, part) -> base (segments before it), state, env (envelope counters) at the start of the part."""
-    env = F.aggregate("elems", F.lit(0).cast("bigint"), _count_envelope)
+    env = F.aggregate("marks", F.lit(0).cast("bigint"), _count_envelope)
     exits = exit_states(automaton)("sigs") if automaton else int_table(range(n_states))
     summary = parts.select(
-        "file_id", "part", F.size("elems").cast("bigint").alias("n"), exits.alias("exits"), env.alias("env"))
+        "file_id", "part", F.size("marks").cast("bigint").alias("n"), exits.alias("exits"), env.alias("env"))
     # one small row per part; the rank only groups neighbours
     rank = F.row_number().over(Window.partitionBy("file_id").orderBy("part")) - 1
     summary = summary.withColumn("blk", F.floor(rank / FANOUT))
@@ -118,9 +125,13 @@ def _nothing_before(parts: DataFrame) -> DataFrame:
 
 def _with_entry(parts: DataFrame, n_states: int, automaton: Automaton | None) -> tuple[DataFrame, DataFrame]:
     """Split into documents of one part (nothing open before it) and the parts of long ones, both with
-    ``base, state, env`` at their start."""
+    ``base, state, env`` at their start.
+
+    The parts of long documents are visited several times, so they are written to the shared folder first: the text
+    is parsed once, and the passes for the summaries read the number columns only.
+    """
     single = _nothing_before(parts.where(~F.col("multi")))
-    multi = parts.where("multi")
+    multi = store(parts.where("multi"), f"long-documents/{uuid.uuid4().hex}")
     multi = multi.join(_entry_states(multi, n_states, automaton), ["file_id", "part"])
     return single, multi.select(*single.columns)
 
@@ -132,13 +143,13 @@ def _with_entry(parts: DataFrame, n_states: int, automaton: Automaton | None) ->
 def number_envelopes(parts: DataFrame, long_documents: bool = True) -> DataFrame:
     """E1 + E2: segments with ``pos`` (dense in the file), ``isa_no``, ``gs_no`` and ``st_no``; numbers start at 1
     and are 0 before the first such segment of the parent."""
-    parts = parts.withColumn("sigs", F.array().cast("array<int>"))
+    parts = parts.withColumns({"sigs": F.array().cast("array<int>"), "marks": _marks()})
     if long_documents:
         single, multi = _with_entry(parts, 1, None)
         both = single.unionByName(multi)
     else:
         both = _nothing_before(_only_short(parts))
-    env = running_state(F.col("elems"), F.col("env"), _count_envelope, "bigint")
+    env = running_state(F.col("marks"), F.col("env"), _count_envelope, "bigint")
     rows = both.withColumn("envs", env).select(
         "file_id", "spec_id", "part", "multi", "sep", "base", F.posexplode(F.arrays_zip("elems", "envs")).alias("i", "x"))
     return rows.select(
@@ -168,10 +179,11 @@ def assign_loops(parts: DataFrame, spec: Spec, long_documents: bool = True) -> D
     the plan smaller.
     """
     a = automaton_for(spec)
-    parts = parts.where(F.col("spec_id") == spec.spec_id).withColumn("sigs", F.transform("elems", a.signature))
+    parts = parts.where(F.col("spec_id") == spec.spec_id).withColumns(
+        {"sigs": F.transform("elems", a.signature), "marks": _marks()})
     keep = ["file_id", "spec_id", "part", "multi", "sep", "base", "elems"]
     walk = walk_parts(a)("sigs", "base", "state").alias("walk")
-    envs = running_state(F.col("elems"), F.col("env"), _count_envelope, "bigint").alias("envs")
+    envs = running_state(F.col("marks"), F.col("env"), _count_envelope, "bigint").alias("envs")
     if long_documents:
         single, multi = _with_entry(parts, a.n_states, a)
         # Loops open before this part are called -1, -2, ... by depth until their real numbers are joined in:

@@ -6,7 +6,7 @@ tables that gives the same rows or None)``.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -779,10 +779,7 @@ def node_path_id(spark, sf_dir):
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    base = shared_dir(spark)
-    if "://" in base:
-        return f"{base}/{spark.sparkContext.applicationId}/files/{name}-{spark.range(1).select(F.uuid()).first()[0]}"
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/files/{name}-{uuid.uuid4().hex}"
 
 
 @query("read_edi", sql("""

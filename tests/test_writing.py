@@ -111,7 +111,7 @@ def test_edits(spark):
     assert first(edits.insert_element(located, clm, 1, F.lit("Z")))[:3] == ["CLM", "Z", "1"]
     assert first(edits.remove_element(located, clm, 1))[:2] == ["CLM", "10.00"]
     refused = edits.reseparate(located, "!", "D", ";").where("refused")
-    assert {r.seg_id for r in refused.collect()} >= {"PER", "BHT"} - {"BHT"}
+    assert "PER" in {r.seg_id for r in refused.collect()}
     fresh = edits.reseparate(located, "!", "/", ";").where("not refused")
     out = texts(writing.write_spec_order(fresh.drop("refused"), samples.SPEC))["a"]
     assert out == samples.text(DOC, "!", "/", ";")

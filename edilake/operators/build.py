@@ -16,7 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .framing import SLICE_SEGMENTS
+from .framing import SLICE_SEGMENTS, raw_part
+from .writing import assemble
 
 MAX_LONG_KEYS = 1_000_000
 ORDERS_PER_PART = 64
@@ -69,10 +70,22 @@ class _Text:
         return _join(self.comp, [(v if isinstance(v, Column) else F.lit(v)).cast("string") for v in values])
 
 
-def segment(separators: Column, *elements: Column) -> Column:
-    """One segment as text: id and elements joined by the element separator, trailing blanks left out."""
-    return F.rtrim(_join(separators["ele"], [F.coalesce(e.cast("string"), F.lit("")) for e in elements]),
-                   separators["ele"])
+def documents_from_segments(rows: DataFrame, order: list[str], seg: str = "~", ele: str = "*") -> DataFrame:
+    """W1 for any tables: one row per segment (``file_id``, ``elements`` starting with the segment id, and columns
+    that order the segments of a document) to ``raw`` documents. Composite elements come joined already.
+
+    Documents are counted first; those longer than a part leave as ordered pieces.
+    """
+    sizes = rows.groupBy("file_id").agg(F.count("*").alias("_size"))
+    texts = rows.join(sizes, "file_id").select(
+        "file_id", F.lit(1).alias("isa_no"), (F.col("_size") > SLICE_SEGMENTS).alias("multi"), *order,
+        F.concat(F.concat_ws(ele, "elements"), F.lit(seg)).alias("text"))
+    pieces = assemble(texts, order)
+    first_two = F.concat(F.substring_index("text", seg, 2), F.lit(seg))
+    heads = pieces.where("multi").groupBy("file_id").agg(F.min_by(first_two, "piece").alias("head"))
+    return pieces.join(heads, "file_id", "left").select(
+        "file_id", F.col("file_id").alias("path"), raw_part(minor=F.col("piece")).alias("part"), "multi", "head",
+        F.col("text").alias("content"))
 
 
 def _defect(key: Column, moduli: tuple[int, ...]) -> Column:
@@ -259,7 +272,7 @@ def _long_documents(customer: DataFrame, orders: DataFrame, lineitem: DataFrame,
     n_orders, n_lines = F.col("n_orders"), F.col("n_lines")
     ends = (_raw(head, F.lit(HEAD_PART), True, v, F.concat("first", "rest"))
             .unionByName(_raw(head, F.lit(TRAILER_PART), True, v, _trailer_text(t, n_orders, n_lines))))
-    names = F.broadcast(head.select("c_custkey", "file_id", "first"))
+    names = head.select("c_custkey", "file_id", "first")
 
     orders = orders.join(F.broadcast(long_customers.select("o_custkey")), "o_custkey", "left_semi")
     long_keys = _long_keys(lineitem, limit)

@@ -73,6 +73,8 @@ texts AS (
   FROM docs JOIN bodies ON c_custkey = o_custkey)
 """
 
+WHOLE = "isa || gs || st || head || body || se || ge || iea"
+
 # the same text with the other delimiters for every seventh customer
 OWN = "CASE WHEN c_custkey % 7 = 0 THEN translate({}, '~*:', '|^>') ELSE {} END"
 
@@ -603,6 +605,16 @@ def encode_tables(spark, sf_dir):
     return build.claim_texts(x.table("lineitem"), x.table("orders")).select(F.col("o_orderkey").alias("claim"), "text")
 
 
+@query("build_documents", sql(f"""
+SELECT file_id, md5(translate(text, '>', ':')) AS digest FROM (
+  SELECT file_id, CASE WHEN c_custkey % 7 = 0 THEN translate({WHOLE}, ':', '>') ELSE {WHOLE} END AS text FROM texts) t""", TEXTS))
+def build_documents(spark, sf_dir):
+    # parsed segments of all files, written anew with one set of segment and element separators
+    rows = lake(spark, sf_dir).located.select("file_id", "pos", "elements")
+    documents = build.documents_from_segments(rows, ["pos"])
+    return documents.select("file_id", F.md5(F.translate("content", ">", ":")).alias("digest"))
+
+
 def _edited(spark: SparkSession, sf_dir: str, seg_id: str) -> DataFrame:
     return lake(spark, sf_dir).located.where((F.col("seg_id") == seg_id) & F.col("loop_id").isin("2300", "2400"))
 
@@ -718,9 +730,6 @@ def write_edi_source_order(spark, sf_dir):
     return writing.write_source_order(lake(spark, sf_dir).located).select("file_id", F.md5("text").alias("digest"))
 
 
-WHOLE = "isa || gs || st || head || body || se || ge || iea"
-
-
 @query("write_edi_spec_order", sql(f"""
 SELECT file_id, md5({own('text')}) AS digest FROM (SELECT file_id, c_custkey, {WHOLE} AS text FROM texts) t""", TEXTS))
 def write_edi_spec_order(spark, sf_dir):

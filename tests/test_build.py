@@ -1,9 +1,10 @@
 """Documents from tables, with one customer holding a third of the orders and one order a third of the lines."""
 
 import pytest
+import samples
 from pyspark.sql import functions as F
 
-from edilake.operators import build, framing, loops, lookup
+from edilake.operators import build, framing, loops, lookup, writing
 from edilake.plans.lake import SPEC
 from edilake.session import store
 
@@ -75,3 +76,18 @@ def test_limit_does_not_change_the_documents_of_other_customers(spark, skewed):
 def test_isa_is_106_characters(spark, skewed):
     raw = build.claim_documents(*skewed)
     assert raw.where("length(split(content, 'GS')[0]) <> 106").isEmpty()
+
+
+def test_documents_from_any_segments(spark, monkeypatch):
+    want = {"a": samples.text(samples.document(samples.claim(1), samples.claim(2))), "b": samples.text(samples.document(samples.claim(3, 0)))}
+    rows = [(k, i, s.split("*")) for k, v in want.items() for i, s in enumerate(v.split("~")[:-1])]
+    table = spark.createDataFrame(rows, "file_id string, n int, elements array<string>").repartition(3)
+    documents = build.documents_from_segments(table, ["n"])
+    assert {r.file_id: r.content for r in documents.collect()} == want
+    # the longer one in pieces, each with the head that framing needs
+    monkeypatch.setattr(build, "SLICE_SEGMENTS", 24)
+    monkeypatch.setattr(writing, "ROWS_PER_PIECE", 7)
+    pieces = build.documents_from_segments(table, ["n"]).orderBy("file_id", "part").collect()
+    assert len([p for p in pieces if p.multi]) > 2
+    assert "".join(p.content for p in pieces if p.file_id == "a") == want["a"]
+    assert {p.head for p in pieces if p.multi} == {"".join(s + "~" for s in want["a"].split("~")[:2])}

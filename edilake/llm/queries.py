@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edilake.llm import bpe
+from edilake.llm import bpe, contamination, language, licenses, minhash, urls
 from edilake.llm.io import table
 
 
@@ -18,6 +18,31 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_near_dedup": (op1_near_dedup, minhash.components_sql(3, 85)),
+    "op3_decontaminate": (op3_decontaminate, None),
+    "op7_license_scan": (op7_license_scan, None),
+    "op8_url_filter": (op8_url_filter, urls.JUDGE_SQL),
+    "op10_language_id": (op10_language_id, None),
     "op9_bpe": (op9_bpe, None),
 }

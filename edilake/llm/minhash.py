@@ -179,10 +179,10 @@ def components_sql(width: int, percent: int) -> str:
     gram = " || ' ' || ".join(f"w[i + {k}]" for k in range(width))
     return rf"""
 WITH RECURSIVE docs AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 sets AS (
   SELECT doc_id, array_to_string(w, ' ') AS key, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {width} THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - {width - 2}), i -> {gram})) END AS s FROM docs),
+    ELSE list_distinct(list_transform(range(1, len(w) - {width - 2}), lambda i: {gram})) END AS s FROM docs),
 classes AS (SELECT key, min(doc_id) AS id, any_value(s) AS s FROM sets WHERE key <> '' GROUP BY key),
 grams AS (SELECT id, unnest(s) AS g FROM classes),
 pairs AS (SELECT a.id AS a, b.id AS b, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.id < b.id GROUP BY ALL),

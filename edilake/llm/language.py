@@ -183,6 +183,19 @@ def identify(docs: DataFrame, model: ByteCnn | None, text: str = "text") -> Data
     return kept.mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, model: ByteCnn | None, least: float = 0.5) -> DataFrame:
+    """``docs`` without those that have no letter or whose language is uncertain (score under ``least``)."""
+    if model is None:
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+
+    def run(batches):
+        for batch in batches:
+            langs, scores = predict(tokens.text_column(batch), model)
+            yield batch.filter(pa.array([lang != "und" and s >= least for lang, s in zip(langs, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 

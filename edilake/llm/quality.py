@@ -2,12 +2,12 @@
 
 Rules are learned one after the other from labelled statistics of documents. A rule grows condition by condition: each
 time the threshold (a quantile of a statistic) is added that most raises the rule's information gain, until it covers
-good documents rarely enough. It is then pruned: last conditions go as long as its value on held-out rows does not fall.
+no good one. It is then pruned: last conditions go as long as its value on held-out rows does not fall.
 Rows that it covers are set aside, and the next rule is learned from the rest. The finished list is one ``CASE``
 expression of threshold conjunctions, in order, that anyone can read; a document that no rule covers is kept.
 
 All of it is DataFrame work: statistics are column expressions, and each step of growing or pruning is one aggregate
-over the labelled rows that returns a row of counts.
+over the labelled rows that returns a histogram of fixed size.
 
 Defined results: a null, empty or blank text has no words and fails the base rules. Without labels of both kinds the
 list is empty and the base rules decide alone. Labels of documents that are absent, and null labels, are not used; a
@@ -107,6 +107,26 @@ def _counts(rows: DataFrame, tests: list[Column]) -> list[tuple[int, int]]:
     return [(found[i] or 0, found[len(tests) + i] or 0) for i in range(len(tests))]
 
 
+def _threshold_counts(rows: DataFrame, cuts: dict[str, list[float]]) -> list[tuple[Condition, int, int]]:
+    """(bad, good) rows under every single condition: one histogram over the cuts of all features."""
+    def place(f, at):
+        return F.size(F.filter(F.array(*map(F.lit, at)), lambda c: c <= F.col(f)))
+
+    bins = [F.struct(F.lit(f).alias("f"), place(f, at).alias("b")) for f, at in cuts.items()]
+    counts: dict[str, list[list[int]]] = {f: [[0, 0] for _ in range(len(at) + 1)] for f, at in cuts.items()}
+    for r in rows.select("label", F.explode(F.array(*bins)).alias("x")).groupBy("x.f", "x.b", "label").count().collect():
+        counts[r["f"]][r["b"]][r["label"]] += r["count"]
+    out = []
+    for f, at in cuts.items():
+        total = [sum(x[k] for x in counts[f]) for k in (0, 1)]
+        below = [0, 0]
+        for i, t in enumerate(at):
+            below = [below[k] + counts[f][i][k] for k in (0, 1)]
+            out.append((Condition(f, True, t), total[0] - below[0], total[1] - below[1]))
+            out.append((Condition(f, False, t), *below))
+    return out
+
+
 def _gain(bad: int, good: int, bad_before: int, good_before: int) -> float:
     if not bad:
         return 0.0
@@ -119,21 +139,21 @@ def learn(labelled: DataFrame, features=FEATURES, max_rules: int = 8, max_condit
     of the rows to grow rules on, the others to prune them. A rule that covers fewer than ``least`` bad rows, or whose
     covered rows are bad in less than ``precision`` of either part, ends the list."""
     cuts = labelled.agg(*(F.percentile_approx(f, [i / quantiles for i in range(1, quantiles)], 1000).alias(f) for f in features)).first()
-    options = [Condition(f, up, t) for f in features for t in sorted(set(cuts[f] or [])) for up in (True, False)]
+    cuts = {f: sorted({float(t) for t in cuts[f]}) for f in features if cuts[f]}
     rules, rest = [], F.lit(True)
-    while options and len(rules) < max_rules:
+    while cuts and len(rules) < max_rules:
         growing = labelled.where(F.col("grow") & rest)
         (bad, good), = _counts(growing, [F.lit(True)])
         if bad < least:
             break
         rule: list[Condition] = []
         while len(rule) < max_conditions and good > 0:
-            found = _counts(growing.where(both(rule)), [c.column() for c in options])
-            value, best = max(((_gain(*n, bad, good), -i) for i, n in enumerate(found)), default=(0.0, 0))
+            options = _threshold_counts(growing.where(both(rule)), cuts)
+            value, best = max((_gain(b, g, bad, good), -i) for i, (_, b, g) in enumerate(options))
             if value <= 0:
                 break
-            rule.append(options[-best])
-            bad, good = found[-best]
+            test, bad, good = options[-best]
+            rule.append(test)
         if not rule:
             break
         held = _counts(labelled.where(~F.col("grow") & rest), [both(rule[:k]) for k in range(1, len(rule) + 1)])

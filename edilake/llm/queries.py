@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edilake.llm import bpe, contamination, language, licenses, minhash, urls
+from edilake.llm import bpe, contamination, language, licenses, minhash, ngrams, quality, secrets, substrings, urls
 from edilake.llm.io import table
 
 
@@ -22,10 +22,26 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.scores(table(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
 
@@ -40,7 +56,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": (op1_near_dedup, minhash.components_sql(3, 85)),
+    "op2_secret_scan": (op2_secret_scan, None),
     "op3_decontaminate": (op3_decontaminate, None),
+    "op4_quality_rules": (op4_quality_rules, None),
+    "op5_suffix_dedup": (op5_suffix_dedup, None),
+    "op6_lm_score": (op6_lm_score, None),
     "op7_license_scan": (op7_license_scan, None),
     "op8_url_filter": (op8_url_filter, urls.JUDGE_SQL),
     "op10_language_id": (op10_language_id, None),

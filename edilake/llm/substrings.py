@@ -152,14 +152,16 @@ FOUND = "anchor bigint, context bigint, ranges array<struct<lo:int,hi:int>>"
 def sorted_contexts(contexts: DataFrame, window: int) -> DataFrame:
     """The repeated ranges of each (anchor, context, bytes), by suffix sorting within each anchor."""
     def solve(rows):
-        data, starts, owner = b"".join(b for _, _, b in rows), [], []
-        at = 0
-        for i, (_, _, b) in enumerate(rows):
-            starts.append(at + np.arange(len(b) - window + 1))
-            owner.append(np.full(len(b) - window + 1, i))
-            at += len(b)
-        starts, owner = np.concatenate(starts), np.concatenate(owner)
-        begins = np.cumsum([0, *(len(b) for _, _, b in rows)])
+        data, begins = b"".join(b for _, _, b in rows), np.cumsum([0, *(len(b) for _, _, b in rows)])
+        starts = np.concatenate([np.arange(a, b - window + 1) for a, b in zip(begins[:-1], begins[1:], strict=True)])
+        # most windows differ by digest from all others; the sort is for the rest
+        sums, inverse = tokens.prefix_sums(np.frombuffer(data, np.uint8)), tokens.powers(len(data) + 1)[1]
+        with np.errstate(over="ignore"):
+            digest = (sums[starts + window] - sums[starts]) * inverse[starts]
+        _, place, count = np.unique(digest, return_inverse=True, return_counts=True)
+        starts = starts[count[place] > 1]
+        if not len(starts):
+            return []
         # a window can only equal one of the same anchor, and those have it at the same place
         twice = [x for leaf in deep_shallow_sort(data, starts, window) if len(leaf) > 1 for x in leaf]
         found: dict[int, list[int]] = {}

@@ -143,7 +143,7 @@ def _typed(value: Column, kind: str) -> Column:
 
 
 def flatten(located: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Q10: one row per innermost loop, with values of the loops around it.
+    """Q10: one row per innermost loop, with values of the loops around it; null for values that are not there.
 
     Each loop id is pivoted to one row per instance; inner loops are then joined to outer ones on the outer
     instance. An outer instance is one row, so a subscriber or claim with very many lines only skews the inner
@@ -154,7 +154,8 @@ def flatten(located: DataFrame, fields: Sequence[Field]) -> DataFrame:
     for depth, loop_id in enumerate(loop_ids):
         own = [f for f in fields if f.loop_id == loop_id]
         seg_ids = sorted({f.seg_id for f in own})
-        rows = kept(located).where((F.col("loop_id") == loop_id) & F.col("seg_id").isin(*seg_ids))
+        # the first segment of a loop keeps loops that have none of the segments asked for
+        rows = kept(located).where((F.col("loop_id") == loop_id) & (F.col("seg_id").isin(*seg_ids) | (F.col("role") == "start")))
         values = []
         for f in own:
             value = F.get("elements", F.lit(f.ele_seq))
@@ -172,7 +173,7 @@ def flatten(located: DataFrame, fields: Sequence[Field]) -> DataFrame:
             keys.append(f"inst_{outer}")
         rows = rows.withColumn(f"inst_{loop_id}", F.col("loop_inst"))
         wide = rows.groupBy(*keys, f"inst_{loop_id}").agg(*values)
-        out = wide if out is None else wide.join(out, keys)
+        out = wide if out is None else wide.join(out, keys, "left")
     return out.select("file_id", *[f"inst_{k}" for k in loop_ids], *[f.name for f in fields])
 
 
@@ -209,20 +210,7 @@ def dedup_documents(fingerprints: DataFrame) -> DataFrame:
 def same_document(left: DataFrame, right: DataFrame) -> DataFrame:
     """Q11: the segments on which two tables of documents differ; empty if they are equal."""
     columns = ["file_id", "isa_no", "pos", "node", "elements"]
-    a, b = kept(left).select(*columns), kept(right).select(*columns)
-    return (a.exceptAll(b).withColumn("only_in", F.lit("left"))
-            .unionByName(b.exceptAll(a).withColumn("only_in", F.lit("right"))))
-
-
-def envelope_counts(located: DataFrame) -> DataFrame:
-    """Q12: the counts that trailers claim (SE01 segments, GE01 sets, IEA01 groups) next to the real ones."""
-    rows = kept(located).select("file_id", "isa_no", "gs_no", "st_no", "seg_id", F.get("elements", F.lit(1)).alias("v"))
-    in_set = rows.where((F.col("st_no") > 0) & ~F.col("seg_id").isin("GE", "IEA", "GS", "ISA"))
-    level = lambda name, keys, df, unit, trailer: df.groupBy("file_id", "isa_no", *keys).agg(
-        F.count(F.when(unit, 1)).alias("actual"), F.max(F.when(F.col("seg_id") == trailer, F.col("v"))).alias("claimed"),
-    ).select("file_id", "isa_no", *[F.col(k) if k in keys else F.lit(None).cast("int").alias(k) for k in ("gs_no", "st_no")],
-             F.lit(name).alias("envelope"), "claimed", "actual")
-    sets = level("ST", ["gs_no", "st_no"], in_set, F.lit(True), "SE")
-    groups = level("GS", ["gs_no"], rows.where("gs_no > 0"), F.col("seg_id") == "ST", "GE")
-    interchanges = level("ISA", [], rows, F.col("seg_id") == "GS", "IEA")
-    return sets.unionByName(groups).unionByName(interchanges)
+    both = (kept(left).select(*columns, F.lit(1).alias("side")).unionByName(kept(right).select(*columns, F.lit(-1).alias("side"))))
+    surplus = both.groupBy(*columns).agg(F.sum("side").alias("side")).where("side <> 0")
+    return surplus.select(*columns, F.when(F.col("side") > 0, "left").otherwise("right").alias("only_in"),
+                          F.explode(F.sequence(F.lit(1), F.abs("side"))).alias("copy")).drop("copy")

@@ -37,11 +37,14 @@ _own_dir: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session. Only a session without one
-    (a test on one machine) gets a folder of its own."""
+    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session. Only a session on one machine
+    (``local[n]``) may go without and gets a folder of its own; on a cluster its executors would each write elsewhere."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = tempfile.mkdtemp(prefix="edilake-")

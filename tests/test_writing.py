@@ -188,3 +188,14 @@ def test_files_and_stream(spark, tmp_path):
                          str(tmp_path / "state")).awaitTermination()
     streamed = spark.read.parquet(str(tmp_path / "table"))
     assert streamed.count() == 7 * len(DOC) and streamed.select("batch").distinct().count() == 3
+
+
+def test_flatten_keeps_loops_without_the_values(spark):
+    columns = "file_id string, loop_id string, node string, seg_id string, elements array<string>, pos long, loop_inst long, path_inst array<long>, role string, sep struct<comp:string>, fault string"
+    rows = [("f", "2300", "2300", "CLM", ["CLM", "c1"], 1, 2, [2], "start", (":",), None),
+            ("f", "2400", "2300/2400", "LX", ["LX", "1"], 2, 4, [2, 4], "start", (":",), None),
+            ("f", "2400", "2300/2400", "SV1", ["SV1", "x", "5"], 3, 4, [2, 4], "body", (":",), None),
+            ("f", "2400", "2300/2400", "LX", ["LX", "2"], 4, 8, [2, 8], "start", (":",), None)]
+    got = lookup.flatten(spark.createDataFrame(rows, columns), [
+        lookup.Field("diagnosis", "2300", "HI", 1), lookup.Field("charge", "2400", "SV1", 2)]).collect()
+    assert sorted((r["charge"] or "", r["diagnosis"]) for r in got) == [("", None), ("5", None)]

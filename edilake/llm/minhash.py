@@ -2,12 +2,16 @@
 
 Documents with the same words in the same order are one class, found by a 128-bit key; only classes are compared. A
 class's distinct shingles are hashed once and dealt to bins; a bin keeps its minimum, and an empty bin takes that of the
-bin which a hash of (bin, attempt) names. Bands of bins are buckets. In a bucket, edges go from one centre to the other
-members, so their number is linear in its size, and are confirmed on full shingle sets. The first centre is the member
-that shares most buckets. Buckets whose members are not yet in one component get another centre in each further round, towards
-members of other components, until a round finds no link.
+bin which a hash of (bin, attempt) names. Bands of bins are buckets, and so are pairs of neighbouring bands, whose
+members are closer to each other. In a bucket, edges go from centres to the other members, so their number is linear in its
+size: from the member that shares most buckets and, in buckets of pairs, from one chosen by a hash. Edges whose set sizes
+rule a link out are dropped, then those of long texts whose signatures are far apart; the rest is confirmed on full shingle
+sets. Buckets whose members are not yet in one component get other centres in ``ROUNDS`` further rounds, towards members
+of other components.
 
 With 5 rows and 32 bands, two sets at a similarity of 0.85 share no bucket once in 10^8 pairs, at 0.8 three times in 10^6.
+Signatures are compared for sets of ``bins`` shingles or more, byte by byte, at 0.15 below the threshold: five standard
+deviations of the estimate.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing. A text of fewer
 words than a shingle is one shingle. Rows without a doc_id are linked with nothing, have no component and are not kept.
@@ -29,6 +33,8 @@ from edilake.llm.components import components
 from edilake.llm.io import keep
 
 BANDS, ROWS = 32, 5
+ROUNDS, CENTRES = 2, 2
+SLACK = 0.15
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -79,22 +85,25 @@ def sequence_key(words: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, key, n_shingles, bands of every document."""
+    """doc_id, key, n_shingles, bands, and marks (the low byte of each bin) of every document."""
     def run(batches):
         for batch in batches:
-            keys, sizes, buckets = [], [], []
+            keys, sizes, buckets, marks = [], [], [], []
             for group in tokens.chunks(tokens.text_column(batch), len):
                 h, bounds = tokens.word_hashes(group)
                 for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                     own = shingles(h[a:b], width)
                     keys.append(sequence_key(h[a:b]))
                     sizes.append(len(own))
-                    buckets.append(band_hashes(one_permutation(own, bands * rows), bands, rows) if len(own) else None)
+                    signature = one_permutation(own, bands * rows) if len(own) else None
+                    buckets.append(band_hashes(signature, bands, rows) if len(own) else None)
+                    marks.append(signature.astype(np.uint8).tobytes() if len(own) else None)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                                              pa.array(buckets, pa.list_(pa.int64()))], ["doc_id", "key", "n_shingles", "bands"])
+                                              pa.array(buckets, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
+                                             ["doc_id", "key", "n_shingles", "bands", "marks"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, key binary, n_shingles bigint, bands array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, key binary, n_shingles bigint, bands array<bigint>, marks binary")
 
 
 def class_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -133,40 +142,60 @@ def confirmed(edges: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
 
 def star(rows: DataFrame) -> DataFrame:
-    """Distinct candidate edges between ``key`` and ``centre``, the smaller first."""
-    return (rows.where("key <> centre").select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")).distinct())
+    """Candidate edges between ``key`` and ``centre``, the smaller first."""
+    return rows.where("key <> centre").select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b"))
+
+
+def likely(edges: DataFrame, signatures: DataFrame, percent: int, bins: int) -> DataFrame:
+    """The distinct ``edges`` (a, b) that set sizes and signatures (key, n_shingles, marks) do not rule out."""
+    def run(batches):
+        for batch in batches:
+            big = np.minimum(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()) >= bins
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, bins) for c in ("marks_a", "marks_b"))
+            near = (a == b).mean(axis=1) >= percent / 100 - SLACK
+            yield batch.select(["a", "b"]).filter(pa.array(near | ~big))
+
+    side = lambda x: signatures.select(F.col("key").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("marks").alias(f"marks_{x}"))
+    rows = edges.distinct().join(side("a"), "a").join(side("b"), "b")
+    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return rows.where(fits).select("a", "b", "n_a", "n_b", "marks_a", "marks_b").mapInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id in reach over links of similarity ``percent`` / 100), kept."""
     sketch = keep(sketches(docs, width, bands, rows), "sketches")
     classes = keep(sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key")
-                   .agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "classes")
+                   .agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("n_shingles", "bands", "marks")).alias("s"))
+                   .select("key", "doc_id", "s.*"), "classes")
     buckets = classes.select("key", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = keep(buckets.join(shared, "bucket"), "members")
-    weights = members.groupBy("key").agg(F.sum("n").alias("weight"))
-    members = keep(members.drop("n").join(weights, "key"), "members")
-    texts = keep(class_texts(docs, classes.select("key", "doc_id").join(weights.select("key"), "key")), "texts")
+    weights = keep(members.groupBy("key").agg(F.sum("n").alias("weight")), "weights")
+    company = classes.join(weights, "key")
+    texts = keep(class_texts(docs, company.select("key", "doc_id")), "texts")
+    signatures = keep(company.select("key", "n_shingles", "marks"), "signatures")
+    members = members.select("bucket", "key")
+
+    def links_of(edges: DataFrame) -> DataFrame:
+        return keep(confirmed(likely(edges, signatures, percent, bands * rows), texts, width, percent), "links")
+
     # the first centre of a bucket is its member with the most company, which near copies have been made from
-    hubs = members.groupBy("bucket").agg(F.max(F.struct("weight", "key"))["key"].alias("centre"))
-    links = keep(confirmed(star(members.join(hubs, "bucket")), texts, width, percent), "links")
-    labels, open_, turn = components(links), members.select("bucket", "key"), 0
-    while True:
-        turn += 1
+    hubs = (members.join(weights, "key").groupBy("bucket").agg(F.max(F.struct("weight", "key"))["key"].alias("centre")))
+    closer = company.select("key", F.explode(F.transform("bands", lambda x, i: F.xxhash64(x, F.element_at("bands", (i + 1) % bands + 1)))).alias("bucket"))
+    nearest = closer.groupBy("bucket").agg(F.min_by("key", F.xxhash64("key", "bucket")).alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n")
+    links = links_of(star(members.join(hubs, "bucket")).union(star(closer.join(nearest, "bucket"))))
+    labels, open_ = components(links), members
+    for turn in range(1, ROUNDS + 1):
         placed = open_.join(labels, F.col("key") == F.col("node"), "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
         mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
-        placed = keep(placed.join(mixed, "bucket"), "open")
-        if placed.isEmpty():
-            break
-        # another centre, by a hash that changes with the round
-        centres = placed.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("o"), "key", "label")).alias("c"))
-        centres = centres.select("bucket", F.col("c.key").alias("centre"), F.col("c.label").alias("own"))
-        new = keep(confirmed(star(placed.join(centres, "bucket").where("label <> own")), texts, width, percent), "links")
-        if new.isEmpty():
-            break
+        open_ = keep(placed.join(mixed, "bucket"), "open")
+        # other centres, by hashes that change with the round
+        chosen = [F.min_by(F.struct("key", "label"), F.xxhash64("key", "bucket", F.lit(turn * CENTRES + k))) for k in range(CENTRES)]
+        centres = (open_.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("c")).select(F.col("bucket").alias("at"), F.explode("c").alias("c"))
+                   .select("at", F.col("c.key").alias("centre"), F.col("c.label").alias("own")))
+        new = links_of(star(open_.join(centres, (F.col("bucket") == F.col("at")) & (F.col("label") != F.col("own")))))
         links = links.union(new)
-        labels, open_ = components(links), placed.select("bucket", "key")
+        labels, open_ = components(links), open_.select("bucket", "key")
     smallest = (classes.select("key", "doc_id").join(labels, F.col("key") == F.col("node"), "left")
                 .select("key", "doc_id", F.coalesce("label", "key").alias("label")))
     ids = smallest.groupBy("label").agg(F.min("doc_id").alias("component_id"))

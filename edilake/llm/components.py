@@ -21,3 +21,14 @@ def components(links: DataFrame) -> DataFrame:
         left = edges.join(parents, "a").select(F.col("p").alias("pa"), F.col("b").alias("a"))
         edges = keep(left.join(parents, "a").select(F.col("pa").alias("a"), F.col("p").alias("b")).where("a <> b").distinct(), "edges")
     return labels
+
+
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after further ``links`` (a, b), which may name nodes that had no label. Only what the
+    links change is contracted."""
+    side = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias(f"of_{x}"))
+    placed = links.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    more = components(placed.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    renamed = more.select(F.col("node").alias("label"), F.col("label").alias("now"))
+    old = labels.join(renamed, "label", "left").select("node", F.coalesce("now", "label").alias("label"))
+    return keep(old.union(more.join(labels.select("node"), "node", "left_anti").select("node", "label")), "labels")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edilake.llm import tokens
-from edilake.llm.components import components
+from edilake.llm.components import components, extended
 from edilake.llm.io import keep
 
 BANDS, ROWS = 32, 5
@@ -194,8 +194,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         centres = (open_.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("c")).select(F.col("bucket").alias("at"), F.explode("c").alias("c"))
                    .select("at", F.col("c.key").alias("centre"), F.col("c.label").alias("own")))
         new = links_of(star(open_.join(centres, (F.col("bucket") == F.col("at")) & (F.col("label") != F.col("own")))))
-        links = links.union(new)
-        labels, open_ = components(links), open_.select("bucket", "key")
+        labels, open_ = extended(labels, new), open_.select("bucket", "key")
     smallest = (classes.select("key", "doc_id").join(labels, F.col("key") == F.col("node"), "left")
                 .select("key", "doc_id", F.coalesce("label", "key").alias("label")))
     ids = smallest.groupBy("label").agg(F.min("doc_id").alias("component_id"))

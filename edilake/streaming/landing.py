@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.framing import cut_elements, cut_segments, frame
+from ..operators.framing import cut_elements, cut_segments, frame, quarantine
 from ..operators.loops import assign_loops
 from ..sources.files import BINARY_SCHEMA, files_as_raw
 from ..specs.model import Spec
@@ -23,14 +23,19 @@ def read_edi_stream(spark: SparkSession, folder: str, charset: str = "UTF-8", fi
     return files_as_raw(reader.load(folder), charset)
 
 
-def parse_stream(raw: DataFrame, spec: Spec, table: str, checkpoint: str) -> StreamingQuery:
+def parse_stream(raw: DataFrame, spec: Spec, table: str, checkpoint: str, errors: str | None = None,
+                 trigger: dict | None = None) -> StreamingQuery:
     """Locate the segments of each batch and add them to a Parquet table. A batch that is run again after a
-    failure replaces its own folder, so nothing is written twice."""
+    failure replaces its own folder, so nothing is written twice. ``errors`` names a second table, for the files that
+    cannot be read (F7). ``trigger`` holds the arguments of ``DataStreamWriter.trigger``; by default what is there is read
+    once."""
     framed = frame(raw, spec.spec_id)
 
     def locate(batch: DataFrame, batch_id: int) -> None:
+        if errors:
+            quarantine(batch, spec.spec_id).write.mode("overwrite").parquet(f"{errors}/batch={batch_id}")
         parts = cut_elements(cut_segments(batch))
         assign_loops(parts, spec).write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
     return (framed.writeStream.foreachBatch(locate).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+            .trigger(**(trigger or {"availableNow": True})).start())

@@ -111,7 +111,7 @@ def test_edits(spark):
     assert first(edits.insert_element(located, clm, 1, F.lit("Z")))[:3] == ["CLM", "Z", "1"]
     assert first(edits.remove_element(located, clm, 1))[:2] == ["CLM", "10.00"]
     refused = edits.reseparate(located, "!", "D", ";").where("refused")
-    assert "PER" in {r.seg_id for r in refused.collect()}
+    assert [r.seg_id for r in refused.orderBy("pos").collect()] == [s.split("*")[0] for s in DOC]
     fresh = edits.reseparate(located, "!", "/", ";").where("not refused")
     out = texts(writing.write_spec_order(fresh.drop("refused"), samples.SPEC))["a"]
     assert out == samples.text(DOC, "!", "/", ";")
@@ -189,6 +189,12 @@ def test_files_and_stream(spark, tmp_path):
     streamed = spark.read.parquet(str(tmp_path / "table"))
     assert streamed.count() == 7 * len(DOC) and streamed.select("batch").distinct().count() == 3
 
+    (folder / "bad.txt").write_text("nothing to read")
+    landing.parse_stream(landing.read_edi_stream(spark, str(folder)), samples.SPEC, str(tmp_path / "table"), str(tmp_path / "state"),
+                         errors=str(tmp_path / "errors"), trigger={"availableNow": True}).awaitTermination()
+    bad = spark.read.parquet(str(tmp_path / "errors")).collect()
+    assert {(r.file_id[-7:], r.severity, r.code) for r in bad} == {("bad.txt", "error", "F1"), ("bad.txt", "fatal", "F7")}
+
 
 def test_flatten_keeps_loops_without_the_values(spark):
     columns = "file_id string, loop_id string, node string, seg_id string, elements array<string>, pos long, loop_inst long, path_inst array<long>, role string, sep struct<comp:string>, fault string"

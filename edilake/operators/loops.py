@@ -28,22 +28,27 @@ from ..specs.model import Spec
 
 FANOUT = 1024
 
-# envelope counters packed in one BIGINT: interchanges (bits 40 and up), groups (20-39), sets (0-19)
-ISA_STEP, GS_STEP, ST_MASK = 1 << 40, 1 << 20, (1 << 20) - 1
+# envelope counters: interchanges of the file, groups of the interchange, sets of the group
+ENVELOPE = "struct<isa:bigint,gs:bigint,st:bigint>"
 
 ROLE_NAMES = {BODY: "body", START: "start", END: "end", DROPPED: "dropped"}
 
 
+def _envelope(isa: Column | int = 0, gs: Column | int = 0, st: Column | int = 0) -> Column:
+    values = [(v if isinstance(v, Column) else F.lit(v)).cast("bigint") for v in (isa, gs, st)]
+    return F.struct(*[v.alias(name) for v, name in zip(values, ("isa", "gs", "st"), strict=True)])
+
+
 def _isa(env: Column) -> Column:
-    return F.shiftright(env, 40).cast("int")
+    return env["isa"]
 
 
 def _gs(env: Column) -> Column:
-    return F.shiftright(env, 20).bitwiseAND(F.lit(ST_MASK)).cast("int")
+    return env["gs"]
 
 
 def _st(env: Column) -> Column:
-    return env.bitwiseAND(F.lit(ST_MASK)).cast("int")
+    return env["st"]
 
 
 def _marks() -> Column:
@@ -54,16 +59,16 @@ def _marks() -> Column:
 def _count_envelope(env: Column, mark: Column) -> Column:
     """An ISA starts a new interchange and resets the groups; a GS starts a group and resets the sets."""
     return (F.when(mark == 0, env)
-            .when(mark == 1, F.shiftleft(F.shiftright(env, 40) + 1, 40))
-            .when(mark == 2, F.shiftleft(F.shiftright(env, 20) + 1, 20))
-            .otherwise(env + 1))
+            .when(mark == 1, _envelope(_isa(env) + 1))
+            .when(mark == 2, _envelope(_isa(env), _gs(env) + 1))
+            .otherwise(_envelope(_isa(env), _gs(env), _st(env) + 1)))
 
 
 def _join_envelopes(before: Column, after: Column) -> Column:
     """The counters at the end of two stretches, the second one counted from zero."""
-    return (F.when(_isa(after) > 0, F.shiftleft(F.shiftright(before, 40), 40) + after)
-            .when(_gs(after) > 0, F.shiftleft(F.shiftright(before, 20), 20) + after)
-            .otherwise(before + after))
+    return (F.when(_isa(after) > 0, _envelope(_isa(before) + _isa(after), _gs(after), _st(after)))
+            .when(_gs(after) > 0, _envelope(_isa(before), _gs(before) + _gs(after), _st(after)))
+            .otherwise(_envelope(_isa(before), _gs(before), _st(before) + _st(after))))
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -72,17 +77,17 @@ def _join_envelopes(before: Column, after: Column) -> Column:
 
 def _entry_states(parts: DataFrame, n_states: int, automaton: Automaton | None) -> DataFrame:
     """(file_id, part) -> base (segments before it), state, env (envelope counters) at the start of the part."""
-    env = F.aggregate("marks", F.lit(0).cast("bigint"), _count_envelope)
+    env = F.aggregate("marks", _envelope(), _count_envelope)
     exits = exit_states(automaton)("sigs") if automaton else int_table(range(n_states))
     summary = parts.select(
         "file_id", "part", F.size("marks").cast("bigint").alias("n"), exits.alias("exits"), env.alias("env"))
     # one small row per part; the rank only groups neighbours
     rank = F.row_number().over(Window.partitionBy("file_id").orderBy("part")) - 1
     summary = summary.withColumn("blk", F.floor(rank / FANOUT))
-    item = "struct<base:bigint,state:int,env:bigint>"
+    item = f"struct<base:bigint,state:int,env:{ENVELOPE}>"
 
     def start() -> Column:
-        return F.struct(F.lit(0).cast("bigint").alias("base"), F.lit(0).alias("state"), F.lit(0).cast("bigint").alias("env"))
+        return F.struct(F.lit(0).cast("bigint").alias("base"), F.lit(0).alias("state"), _envelope().alias("env"))
 
     def advance(s: Column, p: Column) -> Column:
         return F.struct((s["base"] + p["n"]).alias("base"), F.element_at(p["exits"], s["state"] + 1).alias("state"),
@@ -100,7 +105,7 @@ def _entry_states(parts: DataFrame, n_states: int, automaton: Automaton | None)
         F.aggregate("items", F.lit(0).cast("bigint"), lambda a, p: a + p["n"]).alias("n"),
         F.aggregate("items", int_table(range(n_states)),
                     lambda v, p: F.transform(v, lambda s: F.element_at(p["exits"], s + 1))).alias("exits"),
-        F.aggregate("items", F.lit(0).cast("bigint"), lambda a, p: _join_envelopes(a, p["env"])).alias("env"))
+        F.aggregate("items", _envelope(), lambda a, p: _join_envelopes(a, p["env"])).alias("env"))
     files = (composed.groupBy("file_id")
              .agg(F.sort_array(F.collect_list(F.struct("blk", "n", "exits", "env"))).alias("items")))
     block_entry = (files.withColumn("entry", entries(F.col("items"), start()))
@@ -120,7 +125,7 @@ def _only_short(parts: DataFrame) -> DataFrame:
 
 def _nothing_before(parts: DataFrame) -> DataFrame:
     return parts.select(
-        "*", F.lit(0).cast("bigint").alias("base"), F.lit(0).alias("state"), F.lit(0).cast("bigint").alias("env"))
+        "*", F.lit(0).cast("bigint").alias("base"), F.lit(0).alias("state"), _envelope().alias("env"))
 
 
 def _with_entry(parts: DataFrame, n_states: int, automaton: Automaton | None) -> tuple[DataFrame, DataFrame]:
@@ -149,7 +154,7 @@ def number_envelopes(parts: DataFrame, long_documents: bool = True) -> DataFrame
         both = single.unionByName(multi)
     else:
         both = _nothing_before(_only_short(parts))
-    env = running_state(F.col("marks"), F.col("env"), _count_envelope, "bigint")
+    env = running_state(F.col("marks"), F.col("env"), _count_envelope, ENVELOPE)
     rows = both.withColumn("envs", env).select(
         "file_id", "spec_id", "part", "multi", "sep", "base", F.posexplode(F.arrays_zip("elems", "envs")).alias("i", "x"))
     return rows.select(
@@ -183,7 +188,7 @@ def assign_loops(parts: DataFrame, spec: Spec, long_documents: bool = True) -> D
         {"sigs": F.transform("elems", a.signature), "marks": _marks()})
     keep = ["file_id", "spec_id", "part", "multi", "sep", "base", "elems"]
     walk = walk_parts(a)("sigs", "base", "state").alias("walk")
-    envs = running_state(F.col("marks"), F.col("env"), _count_envelope, "bigint").alias("envs")
+    envs = running_state(F.col("marks"), F.col("env"), _count_envelope, ENVELOPE).alias("envs")
     if long_documents:
         single, multi = _with_entry(parts, a.n_states, a)
         # Loops open before this part are called -1, -2, ... by depth until their real numbers are joined in:

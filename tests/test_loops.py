@@ -40,6 +40,15 @@ def test_envelopes_nest_and_restart(spark):
     assert len(wrappers) == 4 and {r.loop_id for r in wrappers} == {"DETAIL"}
 
 
+def test_envelope_counters_have_no_small_limit(spark):
+    big = loops._envelope(1 << 40, 1 << 23, 1 << 20)
+    steps = [loops._count_envelope(big, F.lit(m)) for m in (1, 2, 3)]
+    joined = [loops._join_envelopes(big, loops._envelope(*e)) for e in ((2, 1, 1), (0, 1, 1), (0, 0, 5))]
+    row = spark.range(1).select(*[c.alias(f"c{i}") for i, c in enumerate(steps + joined)]).first()
+    assert [tuple(e) for e in row] == [((1 << 40) + 1, 0, 0), (1 << 40, (1 << 23) + 1, 0), (1 << 40, 1 << 23, (1 << 20) + 1),
+                                       ((1 << 40) + 2, 1, 1), (1 << 40, (1 << 23) + 1, 1), (1 << 40, 1 << 23, (1 << 20) + 5)]
+
+
 def test_a_trailing_segment_closes_a_loop_that_is_not_an_envelope(spark):
     doc = [samples.isa(version="00401"), samples.gs("004010X092A1", "HB"), "ST*271*1", "BHT*0022*11*1*20240102*0930", "HL*1**20*1",
            "NM1*PR*2*PLAN", "HL*2*1*21*1", "NM1*1P*2*CLINIC", "HL*3*2*22*0", "NM1*IL*1*POE", "EB*1", "LS*2120", "NM1*P3*1*DOC",

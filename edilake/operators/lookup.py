@@ -214,3 +214,17 @@ def same_document(left: DataFrame, right: DataFrame) -> DataFrame:
     surplus = both.groupBy(*columns).agg(F.sum("side").alias("side")).where("side <> 0")
     return surplus.select(*columns, F.when(F.col("side") > 0, "left").otherwise("right").alias("only_in"),
                           F.explode(F.sequence(F.lit(1), F.abs("side"))).alias("copy")).drop("copy")
+
+
+def envelope_counts(located: DataFrame) -> DataFrame:
+    """Q12: the counts that trailers claim (SE01 segments, GE01 sets, IEA01 groups) next to the real ones."""
+    rows = kept(located).select("file_id", "isa_no", "gs_no", "st_no", "seg_id", F.get("elements", F.lit(1)).alias("v"))
+    in_set = rows.where((F.col("st_no") > 0) & ~F.col("seg_id").isin("GE", "IEA", "GS", "ISA"))
+    level = lambda name, keys, df, unit, trailer: df.groupBy("file_id", "isa_no", *keys).agg(
+        F.count(F.when(unit, 1)).alias("actual"), F.max(F.when(F.col("seg_id") == trailer, F.col("v"))).alias("claimed"),
+    ).select("file_id", "isa_no", *[F.col(k) if k in keys else F.lit(None).cast("bigint").alias(k) for k in ("gs_no", "st_no")],
+             F.lit(name).alias("envelope"), "claimed", "actual")
+    sets = level("ST", ["gs_no", "st_no"], in_set, F.lit(True), "SE")
+    groups = level("GS", ["gs_no"], rows.where("gs_no > 0"), F.col("seg_id") == "ST", "GE")
+    interchanges = level("ISA", [], rows, F.col("seg_id") == "GS", "IEA")
+    return sets.unionByName(groups).unionByName(interchanges)

@@ -81,8 +81,12 @@ def documents_from_segments(rows: DataFrame, order: list[str], seg: str = "~", e
         "file_id", F.lit(1).alias("isa_no"), (F.col("_size") > SLICE_SEGMENTS).alias("multi"), *order,
         F.concat(F.concat_ws(ele, "elements"), F.lit(seg)).alias("text"))
     pieces = assemble(texts, order)
-    first_two = F.concat(F.substring_index("text", seg, 2), F.lit(seg))
-    heads = pieces.where("multi").groupBy("file_id").agg(F.min_by(first_two, "piece").alias("head"))
+    # pieces are cut anywhere, so the head comes from the first two segments themselves
+    ordered = F.struct(*order, "text")
+    long = texts.where("multi")
+    first = long.groupBy("file_id").agg(F.min(ordered).alias("isa"))
+    heads = (long.join(first, "file_id").where(ordered > F.col("isa")).groupBy("file_id", "isa").agg(F.min(ordered).alias("gs"))
+             .select("file_id", F.concat("isa.text", "gs.text").alias("head")))
     return pieces.join(heads, "file_id", "left").select(
         "file_id", F.col("file_id").alias("path"), raw_part(minor=F.col("piece")).alias("part"), "multi", "head",
         F.col("text").alias("content"))

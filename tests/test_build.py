@@ -86,8 +86,9 @@ def test_documents_from_any_segments(spark, monkeypatch):
     assert {r.file_id: r.content for r in documents.collect()} == want
     # the longer one in pieces, each with the head that framing needs
     monkeypatch.setattr(build, "SLICE_SEGMENTS", 24)
-    monkeypatch.setattr(writing, "ROWS_PER_PIECE", 7)
-    pieces = build.documents_from_segments(table, ["n"]).orderBy("file_id", "part").collect()
-    assert len([p for p in pieces if p.multi]) > 2
-    assert "".join(p.content for p in pieces if p.file_id == "a") == want["a"]
-    assert {p.head for p in pieces if p.multi} == {"".join(s + "~" for s in want["a"].split("~")[:2])}
+    for rows in (7, 1):
+        monkeypatch.setattr(writing, "ROWS_PER_PIECE", rows)
+        pieces = build.documents_from_segments(table, ["n"]).orderBy("file_id", "part").collect()
+        assert len([p for p in pieces if p.multi]) > 2
+        assert "".join(p.content for p in pieces if p.file_id == "a") == want["a"]
+        assert {p.head for p in pieces if p.multi} == {"".join(s + "~" for s in want["a"].split("~")[:2])}

@@ -6,8 +6,9 @@ bin which a hash of (bin, attempt) names. Bands of bins are buckets, and so are
 members are closer to each other. In a bucket, edges go from centres to the other members, so their number is linear in its
 size: from the member that shares most buckets and, in buckets of pairs, from one chosen by a hash. Edges whose set sizes
 rule a link out are dropped, then those of long texts whose signatures are far apart; the rest is confirmed on full shingle
-sets. Buckets whose members are not yet in one component get other centres in ``ROUNDS`` further rounds, towards members
-of other components.
+sets. In a bucket whose members are not in one component then, all members of different components are compared, in blocks
+of at most two chunks of about ``CHUNK`` members: by set sizes, by bit maps of the shingles (maps differ in no more bits than
+sets in shingles, so no link is lost by them) and by signatures. What is left is confirmed as well.
 
 With 5 rows and 32 bands, two sets at a similarity of 0.85 share no bucket once in 10^8 pairs, at 0.8 three times in 10^6.
 Signatures are compared for sets of ``bins`` shingles or more, byte by byte, at 0.15 below the threshold: five standard
@@ -33,8 +34,10 @@ from edilake.llm.components import components, extended
 from edilake.llm.io import keep
 
 BANDS, ROWS = 32, 5
-ROUNDS, CENTRES = 2, 2
 SLACK = 0.15
+CHUNK = 1024
+MAP_BYTES = 128
+AT_ONCE = 1 << 17
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -80,15 +83,21 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def bit_map(hashes: np.ndarray) -> bytes:
+    """Of each bit, whether an odd number of the shingles fall on it."""
+    counts = np.bincount((tokens.mix(hashes) % np.uint64(8 * MAP_BYTES)).astype(np.int64), minlength=8 * MAP_BYTES)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
 def sequence_key(words: np.ndarray) -> bytes:
     return hashlib.blake2b(words.tobytes(), digest_size=16).digest()
 
 
 def sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, key, n_shingles, bands, and marks (the low byte of each bin) of every document."""
+    """doc_id, key, n_shingles, bands, marks (the low byte of each bin) and the bit map of every document."""
     def run(batches):
         for batch in batches:
-            keys, sizes, buckets, marks = [], [], [], []
+            keys, sizes, buckets, marks, maps = [], [], [], [], []
             for group in tokens.chunks(tokens.text_column(batch), len):
                 h, bounds = tokens.word_hashes(group)
                 for a, b in zip(bounds[:-1], bounds[1:], strict=True):
@@ -98,12 +107,13 @@ def sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                     signature = one_permutation(own, bands * rows) if len(own) else None
                     buckets.append(band_hashes(signature, bands, rows) if len(own) else None)
                     marks.append(signature.astype(np.uint8).tobytes() if len(own) else None)
+                    maps.append(bit_map(own) if len(own) else None)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                                              pa.array(buckets, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
-                                             ["doc_id", "key", "n_shingles", "bands", "marks"])
+                                              pa.array(buckets, pa.list_(pa.int64())), pa.array(marks, pa.binary()), pa.array(maps, pa.binary())],
+                                             ["doc_id", "key", "n_shingles", "bands", "marks", "map"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, key binary, n_shingles bigint, bands array<bigint>, marks binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, key binary, n_shingles bigint, bands array<bigint>, marks binary, map binary")
 
 
 def class_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -161,11 +171,88 @@ def likely(edges: DataFrame, signatures: DataFrame, percent: int, bins: int) ->
     return rows.where(fits).select("a", "b", "n_a", "n_b", "marks_a", "marks_b").mapInArrow(run, "a binary, b binary")
 
 
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """bucket, key and label of the members of buckets that are not in one component."""
+    placed = members.join(labels, F.col("key") == F.col("node"), "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
+    mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
+    return keep(placed.join(mixed, "bucket"), "open")
+
+
+def blocks(members: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``members`` (bucket, key, label) dealt to blocks (bucket, x, y), so that any two of a bucket with different labels meet in
+    one. A bucket of up to ``chunk`` members is a block. Larger ones are cut into chunks, which meet in pairs; a label of
+    more members has chunks of its own, which do not meet each other."""
+    sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("n_label"))
+    totals = sizes.groupBy("bucket").agg(F.sum("n_label").alias("n"))
+    small = members.join(totals.where(F.col("n") <= chunk).select("bucket"), "bucket").select(
+        "bucket", *[F.lit(0).cast("bigint").alias(c) for c in ("x", "y", "chunk")], "key", "label")
+    large = sizes.join(totals.where(F.col("n") > chunk), "bucket")
+    alone = F.col("n_label") > chunk
+    at = F.when(alone, F.xxhash64("label", F.pmod(F.xxhash64("key"), F.ceil(F.col("n_label") / chunk)))).otherwise(
+        F.pmod(F.xxhash64("label"), F.ceil(F.col("n") / chunk)))
+    cut = keep(members.join(large, ["bucket", "label"]).select("bucket", "key", "label", at.alias("chunk"), F.when(alone, F.col("label")).alias("own")), "cut")
+    chunks = cut.select("bucket", "chunk", "own").distinct()
+    pairs = chunks.select("bucket", F.col("chunk").alias("x"), F.col("own").alias("own_x")).join(
+        chunks.select("bucket", F.col("chunk").alias("y"), F.col("own").alias("own_y")), "bucket")
+    pairs = keep(pairs.where((F.col("x") <= F.col("y")) & ~F.coalesce(F.col("own_x") == F.col("own_y"), F.lit(False))).select("bucket", "x", "y"), "pairs")
+    sides = pairs.withColumn("chunk", F.col("x")).union(pairs.where("x <> y").withColumn("chunk", F.col("y")))
+    return small.union(cut.join(sides, ["bucket", "chunk"]).select("bucket", "x", "y", "chunk", "key", "label"))
+
+
+def linkable(members: DataFrame, signatures: DataFrame, percent: int, bins: int) -> DataFrame:
+    """The distinct pairs (a, b) of members of a block with different labels, and in blocks of two chunks from different chunks,
+    that set sizes, bit maps and signatures do not rule out."""
+    def compare(table):
+        column = lambda c: table.column(c).to_numpy()
+        matrix = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind).reshape(len(table), -1)
+        x, y, chunk, n, marks, maps = column("x"), column("y"), column("chunk"), column("n_shingles"), matrix("marks", np.uint8), matrix("map", np.uint64)
+        key, label = table.column("key").combine_chunks(), np.unique(np.array(table.column("label").to_pylist(), object), return_inverse=True)[1]
+        ends = np.append(np.flatnonzero(edges(table)) + 1, len(table))
+        after = ends[np.searchsorted(ends, np.arange(len(table)), side="right")] - np.arange(len(table)) - 1
+        total, at = np.cumsum(after), 0
+        while at < len(table):
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + AT_ONCE, side="right")))
+            count = after[at:to]
+            i = np.repeat(np.arange(at, to), count)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+            at = to
+            on = (label[i] != label[j]) & ((x[i] == y[i]) | (chunk[i] != chunk[j])) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            i, j = i[on], j[on]
+            on = np.bitwise_count(maps[i] ^ maps[j]).sum(axis=1, dtype=np.int64) * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+            i, j = i[on], j[on]
+            on = (np.minimum(n[i], n[j]) < bins) | ((marks[i] == marks[j]).mean(axis=1) >= percent / 100 - SLACK)
+            if on.any():
+                yield pa.RecordBatch.from_arrays([key.take(pa.array(i[on])), key.take(pa.array(j[on]))], ["a", "b"])
+
+    def edges(table):
+        block = [table.column(c).to_numpy() for c in ("bucket", "x", "y")]
+        return np.any([c[1:] != c[:-1] for c in block], axis=0)
+
+    def run(batches):
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += len(batch)
+            if rows >= 4 * CHUNK:
+                table = pa.Table.from_batches(held)
+                last = np.flatnonzero(edges(table))
+                if len(last):
+                    yield from compare(table.slice(0, last[-1] + 1))
+                    table = table.slice(last[-1] + 1)
+                held, rows = table.to_batches(), len(table)
+        if rows:
+            yield from compare(pa.Table.from_batches(held))
+
+    rows = members.join(signatures, "key").repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+    pairs = rows.select("bucket", "x", "y", "chunk", "key", "label", "n_shingles", "marks", "map").mapInArrow(run, "a binary, b binary")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id in reach over links of similarity ``percent`` / 100), kept."""
     sketch = keep(sketches(docs, width, bands, rows), "sketches")
     classes = keep(sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key")
-                   .agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("n_shingles", "bands", "marks")).alias("s"))
+                   .agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("n_shingles", "bands", "marks", "map")).alias("s"))
                    .select("key", "doc_id", "s.*"), "classes")
     buckets = classes.select("key", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -173,7 +260,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     weights = keep(members.groupBy("key").agg(F.sum("n").alias("weight")), "weights")
     company = classes.join(weights, "key")
     texts = keep(class_texts(docs, company.select("key", "doc_id")), "texts")
-    signatures = keep(company.select("key", "n_shingles", "marks"), "signatures")
+    signatures = keep(company.select("key", "n_shingles", "marks", "map"), "signatures")
     members = members.select("bucket", "key")
 
     def links_of(edges: DataFrame) -> DataFrame:
@@ -184,17 +271,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     closer = company.select("key", F.explode(F.transform("bands", lambda x, i: F.xxhash64(x, F.element_at("bands", (i + 1) % bands + 1)))).alias("bucket"))
     nearest = closer.groupBy("bucket").agg(F.min_by("key", F.xxhash64("key", "bucket")).alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n")
     links = links_of(star(members.join(hubs, "bucket")).union(star(closer.join(nearest, "bucket"))))
-    labels, open_ = components(links), members
-    for turn in range(1, ROUNDS + 1):
-        placed = open_.join(labels, F.col("key") == F.col("node"), "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
-        mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
-        open_ = keep(placed.join(mixed, "bucket"), "open")
-        # other centres, by hashes that change with the round
-        chosen = [F.min_by(F.struct("key", "label"), F.xxhash64("key", "bucket", F.lit(turn * CENTRES + k))) for k in range(CENTRES)]
-        centres = (open_.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("c")).select(F.col("bucket").alias("at"), F.explode("c").alias("c"))
-                   .select("at", F.col("c.key").alias("centre"), F.col("c.label").alias("own")))
-        new = links_of(star(open_.join(centres, (F.col("bucket") == F.col("at")) & (F.col("label") != F.col("own")))))
-        labels, open_ = extended(labels, new), open_.select("bucket", "key")
+    labels = components(links)
+    # a hub has been compared with all members of its bucket
+    others = members.join(hubs, "bucket").where("key <> centre").select("bucket", "key")
+    new = keep(confirmed(linkable(blocks(open_members(others, labels)), signatures, percent, bands * rows), texts, width, percent), "links")
+    labels = extended(labels, new)
     smallest = (classes.select("key", "doc_id").join(labels, F.col("key") == F.col("node"), "left")
                 .select("key", "doc_id", F.coalesce("label", "key").alias("label")))
     ids = smallest.groupBy("label").agg(F.min("doc_id").alias("component_id"))

@@ -103,6 +103,45 @@ def test_near_copies_are_linked(spark):
     assert got == {i: 0 if i < 40 else i for i in range(50)}
 
 
+def family(members, pairs):
+    """Texts that take one of two words in 50 of 300 places, most of them below the threshold to each other, and after them
+    texts that differ from some of those in six of the places. With the component of each, by all pairs."""
+    rng = np.random.default_rng(5)
+    taken = rng.integers(0, 2, (members + pairs, 50))
+    for k in range(pairs):
+        taken[members + k] = taken[100 * k + 50]
+        taken[members + k, rng.choice(50, 6, replace=False)] ^= 1
+    texts = [" ".join(f"{'ab'[t[i // 6]]}{i}" if i % 6 == 3 else f"w{i}" for i in range(300)) for t in taken]
+    component = list(range(len(texts)))
+    for j in range(len(texts)):
+        changed = 3 * (taken[:j] != taken[j]).sum(axis=1)
+        for i in np.flatnonzero(100 * (298 - changed) >= 85 * (298 + changed)):
+            low, high = sorted((component[i], component[j]))
+            component = [low if c == high else c for c in component]
+    return texts, component
+
+
+@pytest.mark.parametrize("chunk", [minhash.CHUNK, 150])
+def test_links_inside_a_large_bucket_of_unlinked_members(spark, monkeypatch, chunk):
+    monkeypatch.setattr(minhash.blocks, "__defaults__", (chunk,))
+    texts, component = family(2000, 8)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows_of(texts), DOCS), 3, 85).collect()}
+    assert len(set(component)) > 1900 and got == dict(enumerate(component))
+
+
+def test_blocks_let_all_labels_meet(spark):
+    rows = [(b, k, k if k > 40 else 0) for b, n in ((1, 5), (2, 90), (3, 45)) for k in range(n)]
+    table = spark.createDataFrame(rows, "bucket bigint, key bigint, label bigint")
+    met = collections.Counter()
+    blocks = collections.defaultdict(list)
+    for r in minhash.blocks(table, 10).collect():
+        blocks[r.bucket, r.x, r.y].append((r.key, r.label, r.chunk))
+    for (b, x, y), members in blocks.items():
+        met.update((b, k, m) for k, lk, ck in members for m, lm, cm in members if k < m and lk != lm and (x == y or ck != cm))
+    want = {(b, k, m) for b, k, lk in rows for c, m, lm in rows if b == c and k < m and lk != lm}
+    assert set(met) == want and max(met.values()) == 1 and max(map(len, blocks.values())) < 60
+
+
 def test_secrets(spark, odd, empty):
     found = {(r.doc_id, r.start, r.length): r.is_secret for r in secrets.report(odd).collect()}
     assert found == {(5, 18, 18): True}

@@ -37,15 +37,17 @@ FEATURES = ("length", "runs", "covered", "distinct", "digits", "slashes", "is_pa
 UPPER, LOWER, DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 
 
-def dictionary(docs: DataFrame, sample_docs: int = 2000, most_words: int = 400) -> list[str]:
-    """Frequent words of a bounded sample of documents, chosen by hash: part of the classifier, not of the scan."""
-    share = min(1.0, sample_docs / max(1, docs.count()))
-    chosen = docs.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    words = chosen.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z]{3,}"), 0))).alias("w"))
-    rows = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(most_words).collect()
+def dictionary(docs: DataFrame, most_words: int = 400) -> list[str]:
+    """The words that most texts have, each different text counted once: part of the classifier, not of the scan."""
+    texts = docs.where(F.col("text").isNotNull()).groupBy(F.md5("text").alias("text_key")).agg(F.first(distinct_words()).alias("words"))
+    rows = texts.select(F.explode("words").alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(most_words).collect()
     return sorted((r["w"] for r in rows), key=lambda w: (-len(w), w))
 
 
+def distinct_words() -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z]{3,}"), 0))
+
+
 def findings(docs: DataFrame, words: list[str]) -> DataFrame:
     """doc_id, text_key (digest of the text), start (0-based character), value_sha256, and the features of each candidate."""
     rows = docs.select("doc_id", "text").where(F.col("text").rlike(CANDIDATE))

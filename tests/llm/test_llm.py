@@ -154,6 +154,14 @@ def test_secrets(spark, odd, empty):
     assert all(r.is_secret == (r.length == 16 and text[r.start] == "q") for r in got) and len(got) == 90
 
 
+def test_dictionary_counts_the_words_of_all_texts_and_copies_once(spark):
+    filler = ["hot" + "".join(chr(97 + int(d)) for d in f"{i:03}") for i in range(400)]
+    texts = [" ".join(filler[k:] + filler[:k]) for k in range(40) for _ in range(120)] + [f"rare {i}" for i in range(50)] + [None, ""]
+    docs = spark.createDataFrame(rows_of(texts), DOCS)
+    assert "rare" in secrets.dictionary(docs)
+    assert secrets.dictionary(docs, most_words=1) == ["rare"]
+
+
 def leaked(texts, items, spark, **options):
     docs = spark.createDataFrame(rows_of(texts), DOCS)
     return {(r.doc_id, r.item_id) for r in contamination.leaks(docs, spark.createDataFrame(items, "item_id bigint, text string"), **options).collect()}

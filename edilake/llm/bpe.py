@@ -16,14 +16,19 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edilake.llm.tokens import chunks
+
 # fixed values: the split pattern of the vocabulary
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED_WORDS = 400_000
+# bytes of ids and words, with what Python adds to each, that a worker remembers
+CACHED_BYTES, ENTRY_BYTES = 24_000_000, 170
+GROUP_BYTES = 1_000_000
 
 
 def printable_bytes() -> list[str]:
@@ -51,7 +56,11 @@ class Bpe:
         self.added = {s: np.array([i], "<u4").tobytes() for s, i in added.items()}
         self.split_added = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(added, key=len, reverse=True)) + ")")
         self.words = regex.compile(PATTERN)
+        self.forget()
+
+    def forget(self) -> None:
         self.cache: dict[str, bytes] = {}
+        self.cached = 0
 
     def encode_word(self, word: str) -> bytes:
         """Ids of one word as packed little-endian unsigned 32-bit integers."""
@@ -83,6 +92,18 @@ class Bpe:
                     heapq.heappush(queue, (found[0], h, ids[h], merged, found[1]))
         return np.array([i for i in ids if i >= 0], "<u4").tobytes()
 
+    def remembered(self, word: str) -> bytes:
+        ids = self.cache.get(word)
+        if ids is None:
+            ids = self.encode_word(word)
+            size = 2 * len(word) + len(ids) + ENTRY_BYTES
+            if size < CACHED_BYTES // 100:
+                if self.cached + size > CACHED_BYTES:
+                    self.forget()
+                self.cache[word] = ids
+                self.cached += size
+        return ids
+
     def encode(self, text: str) -> bytes:
         out = []
         for piece in self.split_added.split(text) if self.added else [text]:
@@ -93,12 +114,7 @@ class Bpe:
             try:
                 out.append(b"".join(map(self.cache.__getitem__, words)))
             except KeyError:
-                if len(self.cache) > CACHED_WORDS:
-                    self.cache.clear()
-                for w in words:
-                    if w not in self.cache:
-                        self.cache[w] = self.encode_word(w)
-                out.append(b"".join(map(self.cache.__getitem__, words)))
+                out.append(b"".join(map(self.remembered, words)))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
@@ -110,40 +126,53 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def _mapped(df: DataFrame, name: str, kind, convert) -> DataFrame:
-    """``df`` with column ``name`` made by ``convert`` from a list of batches' values; replaces one of that name."""
-    rest = [c for c in df.columns if c != name]
-    source = "__source"
-    schema = T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])
+def _mapped(docs: DataFrame, path: str, source: str, made: dict[str, T.DataType], convert) -> DataFrame:
+    """``docs`` with the columns ``made``, which ``convert`` gives for each value of ``source``; columns of those names
+    are replaced. One Python worker a task, which handles about ``GROUP_BYTES`` at a time and forgets its words after
+    the partition."""
+    rest = [c for c in docs.columns if c not in made]
+    schema = T.StructType([f for f in docs.schema.fields if f.name not in made] + [T.StructField(k, t) for k, t in made.items()])
+    kinds = [pa.binary() if isinstance(t, T.BinaryType) else pa.string() for t in made.values()]
 
     def run(batches):
+        bpe = load(path)
         for batch in batches:
-            values = convert(batch.column(source).to_pylist())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), values], [*rest, name])
+            values = batch.column(batch.num_columns - 1)
+            lengths = pc.fill_null(pc.binary_length(values), 0).to_pylist()
+            at = 0
+            for group in chunks(lengths, int, GROUP_BYTES):
+                own = values.slice(at, len(group)).to_pylist()
+                columns = zip(*(convert(bpe, v) for v in own), strict=True)
+                part = batch.slice(at, len(group))
+                at += len(group)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                                                 [*rest, *made])
+        bpe.forget()
 
-    return lambda column: df.select(*(F.col(f"`{c}`") for c in rest), column.alias(source)).mapInArrow(run, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in rest), F.col(f"`{source}`").alias("__source")).mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the packed ids (little-endian unsigned 32-bit) of column ``text`` as binary column ``ids``."""
-    def convert(texts):
-        bpe = load(path)
-        return pa.array([bpe.encode(t or "") for t in texts], pa.binary())
-
-    return _mapped(docs, ids, T.BinaryType(), convert)(F.col(text))
+    return _mapped(docs, path, text, {ids: T.BinaryType()}, lambda bpe, t: (bpe.encode(t or ""),))
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``docs`` with the text of packed ``ids``; null ids are no ids."""
-    def convert(packed):
-        bpe = load(path)
-        return pa.array([bpe.decode(p or b"") for p in packed], pa.string())
+    return _mapped(docs, path, ids, {text: T.StringType()}, lambda bpe, p: (bpe.decode(p or b""),))
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and then ``decode`` in one pass."""
+    def convert(bpe, t):
+        packed = bpe.encode(t or "")
+        return packed, bpe.decode(packed)
 
-    return _mapped(docs, text, T.StringType(), convert)(F.col(ids))
+    return _mapped(docs, path, text, {ids: T.BinaryType(), decoded: T.StringType()}, convert)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document: token count, digest of the ids, digest of the text decoded from them."""
-    coded = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    coded = round_trip(docs.select("doc_id", "text"), path)
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

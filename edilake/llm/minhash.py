@@ -93,12 +93,14 @@ def sequence_key(words: np.ndarray) -> bytes:
     return hashlib.blake2b(words.tobytes(), digest_size=16).digest()
 
 
-def sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, key, n_shingles, bands, marks (the low byte of each bin) and the bit map of every document."""
+def sketches(docs: DataFrame, width: int, bands: int, rows: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, key, n_shingles, bands, marks (the low byte of each bin) and the bit map of every document, and the string
+    columns ``carry``."""
     def run(batches):
         for batch in batches:
-            keys, sizes, buckets, marks, maps = [], [], [], [], []
+            at = 0
             for group in tokens.chunks(tokens.text_column(batch), len):
+                keys, sizes, buckets, marks, maps = [], [], [], [], []
                 h, bounds = tokens.word_hashes(group)
                 for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                     own = shingles(h[a:b], width)
@@ -108,12 +110,15 @@ def sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                     buckets.append(band_hashes(signature, bands, rows) if len(own) else None)
                     marks.append(signature.astype(np.uint8).tobytes() if len(own) else None)
                     maps.append(bit_map(own) if len(own) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                                              pa.array(buckets, pa.list_(pa.int64())), pa.array(marks, pa.binary()), pa.array(maps, pa.binary())],
-                                             ["doc_id", "key", "n_shingles", "bands", "marks", "map"])
+                own = batch.slice(at, len(group))
+                at += len(group)
+                yield pa.RecordBatch.from_arrays([own.column("doc_id"), *(own.column(c) for c in carry), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
+                                                  pa.array(buckets, pa.list_(pa.int64())), pa.array(marks, pa.binary()), pa.array(maps, pa.binary())],
+                                                 ["doc_id", *carry, "key", "n_shingles", "bands", "marks", "map"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, key binary, n_shingles bigint, bands array<bigint>, marks binary, map binary")
+    carried = "".join(f", `{c}` string" for c in carry)
+    return docs.select("doc_id", "text", *carry).mapInArrow(run, f"doc_id {id_type}{carried}, key binary, n_shingles bigint, bands array<bigint>, marks binary, map binary")
 
 
 def class_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -250,7 +255,12 @@ def linkable(members: DataFrame, signatures: DataFrame, percent: int, bins: int)
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id in reach over links of similarity ``percent`` / 100), kept."""
-    sketch = keep(sketches(docs, width, bands, rows), "sketches")
+    return judged(docs, width, percent, bands, rows).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def judged(docs: DataFrame, width: int, percent: int, bands: int = BANDS, rows: int = ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``near_duplicates`` with the columns ``carry`` of ``docs`` and ``label``, equal for the texts of a component."""
+    sketch = keep(sketches(docs, width, bands, rows, carry), "sketches")
     classes = keep(sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key")
                    .agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("n_shingles", "bands", "marks", "map")).alias("s"))
                    .select("key", "doc_id", "s.*"), "classes")
@@ -279,18 +289,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     smallest = (classes.select("key", "doc_id").join(labels, F.col("key") == F.col("node"), "left")
                 .select("key", "doc_id", F.coalesce("label", "key").alias("label")))
     ids = smallest.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = keep(smallest.join(ids, "label").select("key", "component_id"), "components")
+    of_class = keep(smallest.join(ids, "label").select("key", "label", "component_id"), "components")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return (sketch.select("doc_id", "key", "n_shingles").join(of_class, "key", "left")
-            .select("doc_id", "n_shingles", component.alias("component_id"))
+    return (sketch.select("doc_id", *carry, "key", "n_shingles").join(of_class, "key", "left")
+            .select("doc_id", *carry, "label", "n_shingles", component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest doc_id; rows without a doc_id stay."""
-    kept = near_duplicates(docs, width, percent).where("kept").select("doc_id").distinct()
-    known = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where(F.col("doc_id").isNull()))
+    """``docs`` with one document of each component: that of the smallest doc_id, of several different texts under that
+    doc_id the one of the smallest digest. Texts without words are linked with nothing, so all different ones stay. Rows
+    with the same doc_id and text are one document; rows without a doc_id stay."""
+    digest = "__text_digest"
+    rows = docs.withColumn(digest, F.coalesce(F.sha2("text", 256), F.lit("")))
+    one = (judged(rows, width, percent, carry=(digest,)).where("kept").groupBy("doc_id", F.coalesce(F.hex("label"), digest))
+           .agg(F.min(digest).alias(digest)).select("doc_id", digest))
+    known = rows.where(F.col("doc_id").isNotNull()).join(one, ["doc_id", digest], "left_semi").dropDuplicates(["doc_id", digest])
+    return known.select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def components_sql(width: int, percent: int) -> str:

@@ -21,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edilake.functions.arrays import running_state
 from edilake.llm.io import keep
 
 # fixed values: words that announce a credential
@@ -53,12 +54,17 @@ def findings(docs: DataFrame, words: list[str]) -> DataFrame:
     rows = docs.select("doc_id", "text").where(F.col("text").rlike(CANDIDATE))
     cut = rows.select("doc_id", F.md5("text").alias("text_key"), F.regexp_extract_all("text", F.lit(CANDIDATE), 0).alias("v"),
                       F.split("text", CANDIDATE, -1).alias("gap"))
-    one = cut.select("doc_id", "text_key", "gap", F.posexplode("v").alias("i", "value"), "v")
-    starts = (F.aggregate(F.slice("gap", 1, F.col("i") + 1), F.lit(0), lambda a, x: a + F.length(x))
-              + F.aggregate(F.slice("v", 1, F.col("i")), F.lit(0), lambda a, x: a + F.length(x)))
-    before, after = F.get("gap", F.col("i")), F.get("gap", F.col("i") + 1)
-    placed = one.select("doc_id", "text_key", starts.alias("start"), "value", F.lower(before.substr(F.greatest(F.length(before) - NEAR + 1, F.lit(1)), F.lit(NEAR))).alias("before"),
-                        after.substr(1, NEAR).alias("after"))
+    # where each candidate starts: the lengths of all before it, summed up once per text
+    steps = F.arrays_zip(F.transform("gap", F.length).alias("g"), F.transform("v", F.length).alias("n"))
+    ends = running_state(steps, F.lit(0), lambda a, x: a + x["g"] + F.coalesce(x["n"], F.lit(0)), "int")
+    beside = F.transform("gap", lambda g: F.struct(
+        F.lower(g.substr(F.greatest(F.length(g) - NEAR + 1, F.lit(1)), F.lit(NEAR))).alias("before"), g.substr(1, NEAR).alias("after")))
+    one = cut.select("doc_id", "text_key", "v", ends.alias("ends"), beside.alias("beside")).select(
+        "doc_id", "text_key", F.inline(F.arrays_zip(
+            F.col("v").alias("value"), F.slice("ends", F.lit(1), F.size("v")).alias("end"), F.slice("beside", F.lit(1), F.size("v")).alias("left"),
+            F.slice("beside", F.lit(2), F.size("v")).alias("right"))))
+    placed = one.select("doc_id", "text_key", (F.col("end") - F.length("value")).alias("start"), "value", F.col("left.before").alias("before"),
+                        F.col("right.after").alias("after"))
     n = F.length("value")
     kinds = F.translate("value", UPPER + LOWER + DIGIT, "A" * 26 + "a" * 26 + "0" * 10)
     flag = lambda c: c.cast("double")
@@ -130,16 +136,16 @@ def report(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark`` and n_chars, if there is one, counted anew. Texts meet
     their findings by digest, so copies share one row of spans."""
-    spans = (scan(docs).where("is_secret").select("text_key", F.struct("start", F.col("length").cast("int").alias("n")).alias("span"))
-             .groupBy("text_key").agg(F.array_sort(F.collect_set("span")).alias("spans")))
+    key, spans = "__text_key", "__secret_spans"
+    found_in = (scan(docs).where("is_secret").select(F.col("text_key").alias(key), F.struct("start", F.col("length").cast("int").alias("n")).alias("span"))
+                .groupBy(key).agg(F.array_sort(F.collect_set("span")).alias(spans)))
     end = lambda s: s["start"] + s["n"]
-    text, found = F.col("text"), F.col("spans")
+    text, found = F.col("text"), F.col(spans)
     pieces = F.transform(found, lambda s, i: F.concat(text.substr(
         F.when(i > 0, end(F.get(found, i - 1))).otherwise(0) + 1, s["start"] - F.when(i > 0, end(F.get(found, i - 1))).otherwise(0)), F.lit(mark)))
     last = F.element_at(found, -1)
     clean = F.concat(F.array_join(pieces, ""), text.substr(end(last) + 1, F.length(text)))
-    keyed = docs.withColumn("__key", F.md5("text"))
-    joined = keyed.join(spans, keyed["__key"] == spans["text_key"], "left").withColumn("text", F.when(found.isNotNull(), clean).otherwise(text))
+    joined = docs.withColumn(key, F.md5("text")).join(found_in, key, "left").withColumn("text", F.when(found.isNotNull(), clean).otherwise(text))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.when(found.isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return joined.select(*docs.columns)
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns))

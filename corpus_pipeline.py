@@ -38,7 +38,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids (packed), and whether the ids decode to the text."""
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path()), tokenizer_path())
+    coded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), tokenizer_path())
     return coded.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids",
                         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edilake.llm import bpe, contamination, language, licenses, merkle, minhash, ngrams, quality, secrets, substrings, urls
+from edilake.llm import bpe, contamination, language, licenses, merkle, minhash, ngrams, quality, secrets, simhash, substrings, urls
 from edilake.llm.io import table
 
 
@@ -55,6 +55,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.linked(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
 
@@ -70,5 +74,6 @@ QUERIES = {
     "op8_url_filter": (op8_url_filter, urls.JUDGE_SQL),
     "op10_language_id": (op10_language_id, None),
     "op9_bpe": (op9_bpe, None),
+    "op11_simhash_dedup": (op11_simhash_dedup, None),
     "op13_merkle_manifest": (op13_merkle_manifest, merkle.verified_sql()),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edilake.llm import bpe, contamination, language, licenses, merkle, minhash, ngrams, quality, secrets, simhash, substrings, urls
+from edilake.llm import bpe, contamination, language, licenses, merkle, minhash, ngrams, quality, secrets, simhash, spelling, substrings, urls
 from edilake.llm.io import table
 
 
@@ -59,6 +59,10 @@ def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.linked(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
 
@@ -75,5 +79,6 @@ QUERIES = {
     "op10_language_id": (op10_language_id, None),
     "op9_bpe": (op9_bpe, None),
     "op11_simhash_dedup": (op11_simhash_dedup, None),
+    "op12_spelling_variants": (op12_spelling_variants, spelling.spelling_sql()),
     "op13_merkle_manifest": (op13_merkle_manifest, merkle.verified_sql()),
 }

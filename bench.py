@@ -40,7 +40,7 @@ def steps(spark, sf_dir: str, step) -> int:
     step("extract", lambda: run(lookup.flatten(x.located, [
         lookup.Field("market", "2000B", "SBR", 3), lookup.Field("claim", "2300", "CLM", 1, cast="bigint"),
         lookup.Field("charge", "2400", "SV1", 2, cast="decimal(18,2)"),
-        lookup.Field("service_date", "2400", "DTP", 3, qualifier="472", cast="date")])))
+        lookup.Field("service_date", "2400", "DTP", 3, qualifier="472", cast="date")], SPEC)))
     step("store_dirty", lambda: (dirty.located, dirty.loops))
     step("validate", lambda: dirty.errors)
     step("error_ranking", lambda: run(reports.error_ranking(dirty.errors)))

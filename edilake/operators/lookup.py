@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..specs.model import Spec
 from .loops import kept, rank_in_file
 
 
@@ -142,39 +143,71 @@ def _typed(value: Column, kind: str) -> Column:
     return value.cast(kind)
 
 
-def flatten(located: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Q10: one row per innermost loop, with values of the loops around it; null for values that are not there.
+def _shared(a: tuple[str, ...], b: tuple[str, ...]) -> int:
+    """How many loops two paths of the spec have in common, from the root."""
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
-    Each loop id is pivoted to one row per instance; inner loops are then joined to outer ones on the outer
-    instance. An outer instance is one row, so a subscriber or claim with very many lines only skews the inner
-    side, which adaptive execution splits. Fields are listed from the outermost loop to the innermost.
+
+def flatten(located: DataFrame, fields: Sequence[Field], spec: Spec, per: str | None = None) -> DataFrame:
+    """Q10: one row per instance of the loop ``per`` (that of the last field), with the first values of the loops around it,
+    beside it and below it; null if the document has no such value.
+
+    A loop and ``per`` have a deepest common ancestor in the spec: the loop itself if it is around ``per``, the parent of
+    both if they are siblings, ``per`` itself if the loop is below. Its instance owns the value. One scan and one
+    aggregate give a row per owner; each row of ``per`` then asks its owners, one row per level, with one join, however
+    many loops there are. An owner is a single row, so a subscriber with very many claims only skews the asking side,
+    which adaptive execution splits. Of several instances of a loop below the owner, the first counts, for all fields.
     """
     loop_ids = list(dict.fromkeys(f.loop_id for f in fields))
-    out = None
-    for depth, loop_id in enumerate(loop_ids):
-        own = [f for f in fields if f.loop_id == loop_id]
-        seg_ids = sorted({f.seg_id for f in own})
-        # the first segment of a loop keeps loops that have none of the segments asked for
-        rows = kept(located).where((F.col("loop_id") == loop_id) & (F.col("seg_id").isin(*seg_ids) | (F.col("role") == "start")))
-        values = []
-        for f in own:
-            value = F.get("elements", F.lit(f.ele_seq))
-            if f.sub is not None:
-                value = get_sub_element(value, F.col("sep.comp"), f.sub)
-            here = F.col("seg_id") == f.seg_id
-            if f.qualifier is not None:
-                here &= F.get("elements", F.lit(1)) == f.qualifier
-            # min_by takes the first in document order and, unlike a window, combines before the shuffle
-            values.append(_typed(F.min_by(F.when(here, value), F.when(here, F.col("pos"))), f.cast).alias(f.name))
-        keys = ["file_id"]
-        path_ids = F.split("node", "/")
-        for outer in loop_ids[:depth]:
-            rows = rows.withColumn(f"inst_{outer}", _instance_of(outer, path_ids))
-            keys.append(f"inst_{outer}")
-        rows = rows.withColumn(f"inst_{loop_id}", F.col("loop_inst"))
-        wide = rows.groupBy(*keys, f"inst_{loop_id}").agg(*values)
-        out = wide if out is None else wide.join(out, keys, "left")
-    return out.select("file_id", *[f"inst_{k}" for k in loop_ids], *[f.name for f in fields])
+    per = per or fields[-1].loop_id
+    paths = [path for path, _ in spec.nodes() if path[-1] in (*loop_ids, per)]
+    ends = [path for path in paths if path[-1] == per]
+    # `per` may stand at several places of the spec; what it shares with another loop depends on the place
+    owners = [("/".join(p), [(k, _shared(p, q)) for k, q in enumerate(ends) if p[-1] != per or p == q],
+               sorted({_shared(p, q) for q in paths if q[-1] != per and _shared(p, q) < len(p)}) if p[-1] == per else []) for p in paths]
+    # a loop whose parent is missing stands alone
+    owners.append((per, [(-1, 1)], []))
+    table = F.broadcast(located.sparkSession.createDataFrame(
+        owners, "node string, owners array<struct<place:int,depth:int>>, ask array<int>"))
+
+    seg_ids = sorted({f.seg_id for f in fields})
+    wanted = F.col("loop_id").isin(*{*loop_ids, per}) & (F.col("seg_id").isin(*seg_ids) | (F.col("role") == "start"))
+    rows = kept(located).where(wanted).join(table, "node").select(
+        "file_id", "loop_id", "loop_inst", "pos", "seg_id", "elements", "sep.comp", "path_inst", "ask",
+        ((F.col("loop_id") == per) & (F.col("role") == "start")).alias("opens"),
+        F.inline(F.transform("owners", lambda d: F.struct(d["place"].alias("place"), F.get("path_inst", d["depth"] - 1).alias("owner")))))
+
+    def first(f: Field) -> Column:
+        value = F.get("elements", F.lit(f.ele_seq))
+        if f.sub is not None:
+            value = get_sub_element(value, F.col("comp"), f.sub)
+        here = (F.col("loop_id") == f.loop_id) & (F.col("seg_id") == f.seg_id)
+        if f.qualifier is not None:
+            here &= F.get("elements", F.lit(1)) == f.qualifier
+        # min_by takes the first in document order and, unlike a window, combines before the shuffle
+        return F.min_by(F.when(here, F.struct(F.col("loop_inst").alias("inst"), value.alias("value"))),
+                        F.when(here, F.struct("loop_inst", "pos")))
+
+    held = rows.groupBy("file_id", "owner", "place").agg(
+        F.max(F.when(F.col("opens"), F.struct("path_inst", "ask"))).alias("asks"),
+        *[F.min(F.when(F.col("loop_id") == k, F.col("loop_inst"))).alias(f"inst_{k}") for k in loop_ids],
+        *[first(f).alias(f.name) for f in fields])
+    values = {k: F.struct(F.col(f"inst_{k}").alias("inst"), *[
+        F.when(F.col(f"{f.name}.inst") == F.col(f"inst_{k}"), F.col(f"{f.name}.value")).alias(f.name)
+        for f in fields if f.loop_id == k]).alias(f"of_{k}") for k in loop_ids}
+    # both sides read the same columns, so that one shuffle serves both
+    own = held.where("asks IS NOT NULL").select("file_id", F.col("owner").alias("inst"), "place", "asks", *values.values())
+    if any(ask for _, _, ask in owners):
+        around = held.where("asks IS NULL").select("file_id", "owner", "place", *[v.alias(f"around_{k}") for k, v in values.items()])
+        asking = own.select("file_id", "inst", "place", *[f"of_{k}" for k in loop_ids], F.explode_outer(
+            F.transform("asks.ask", lambda d: F.struct(d.alias("level"), F.element_at("asks.path_inst", d).alias("owner")))).alias("q"))
+        asking = asking.select("file_id", "inst", "place", *[f"of_{k}" for k in loop_ids], "q.level", "q.owner")
+        nearest = [F.coalesce(F.first(F.when(F.col(f"of_{k}.inst").isNotNull(), F.col(f"of_{k}")), ignorenulls=True),
+                              F.max_by(f"around_{k}", F.when(F.col(f"around_{k}.inst").isNotNull(), F.col("level")))).alias(f"of_{k}")
+                   for k in loop_ids]
+        own = asking.join(around, ["file_id", "owner", "place"], "left").groupBy("file_id", "inst").agg(*nearest)
+    return own.select("file_id", F.col("inst").alias("row_inst"), *[F.col(f"of_{k}.inst").alias(f"inst_{k}") for k in loop_ids],
+                      *[_typed(F.col(f"of_{f.loop_id}.{f.name}"), f.cast).alias(f.name) for f in fields])
 
 
 # ---------------------------------------------------------------------------------------------------------

@@ -151,7 +151,7 @@ def billed_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         Field("claim", "2300", "CLM", 1, cast="bigint"),
         Field("charge", "2400", "SV1", 2, cast="decimal(18,2)"),
         Field("service_date", "2400", "DTP", 3, qualifier="472", cast="date"),
-    ])
+    ], SPEC)
     return wide.groupBy("claim", "service_date").agg(F.sum("charge").alias("billed"))
 
 
@@ -447,24 +447,41 @@ def count_children(spark, sf_dir):
 
 
 @query("flatten", sql("""
-SELECT file_id, CAST(o_custkey AS VARCHAR) AS subscriber, o_orderkey AS claim, l_linenumber AS line_no,
-       CAST(l_partkey AS BIGINT) AS part, CAST(l_extendedprice AS DECIMAL(18,2)) AS charge,
-       CAST(l_quantity AS INTEGER) AS quantity, CAST(l_shipdate AS DATE) AS service_date FROM lines"""))
+SELECT l.file_id, CAST(o_custkey AS VARCHAR) AS subscriber, d.c_mktsegment AS market, d.c_mktsegment AS payer, o_orderkey AS claim,
+       l_linenumber AS line_no, CAST(l_partkey AS BIGINT) AS part, CAST(l_extendedprice AS DECIMAL(18,2)) AS charge,
+       CAST(l_quantity AS INTEGER) AS quantity, CAST(l_shipdate AS DATE) AS service_date
+FROM lines l JOIN docs d ON o_custkey = c_custkey"""))
 def flatten(spark, sf_dir):
     # packed text: subscriber, claim and line of one document may lie in different parts of a file
     wide = lookup.flatten(lake(spark, sf_dir, "packed").located, [
         Field("market", "2000B", "SBR", 3),
+        Field("subscriber", "2010BA", "NM1", 9),
+        Field("payer", "2010BB", "NM1", 3),
         Field("claim", "2300", "CLM", 1, cast="bigint"),
         Field("line_no", "2400", "LX", 1, cast="int"),
         Field("part", "2400", "SV1", 1, sub=1, cast="bigint"),
         Field("charge", "2400", "SV1", 2, cast="decimal(18,2)"),
         Field("quantity", "2400", "SV1", 4, cast="int"),
         Field("service_date", "2400", "DTP", 3, qualifier="472", cast="date"),
-    ])
-    names = lookup.flatten(lake(spark, sf_dir, "packed").located, [
-        Field("market", "2000B", "SBR", 3), Field("subscriber", "2010BA", "NM1", 9)])
-    return wide.join(names.select("file_id", "inst_2000B", "subscriber"), ["file_id", "inst_2000B"]).select(
-        F.col("subscriber").alias("file_id"), "subscriber", "claim", "line_no", "part", "charge", "quantity", "service_date")
+    ], SPEC)
+    return wide.select(F.col("subscriber").alias("file_id"), "subscriber", "market", "payer", "claim", "line_no", "part", "charge",
+                       "quantity", "service_date")
+
+
+@query("flatten_siblings", sql("""
+SELECT c.file_id, CAST(c_custkey AS VARCHAR) AS subscriber, c_name AS name, o_orderkey AS claim, CAST(first_line AS INTEGER) AS first_line,
+       CASE WHEN cdef = 41 THEN 0 ELSE 1 END AS named
+FROM claims c JOIN docs ON o_custkey = c_custkey
+LEFT JOIN (SELECT l_orderkey, min(l_linenumber) AS first_line FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
+WHERE cdef NOT IN (31, 37, 41, 47)
+UNION ALL SELECT c.file_id, NULL, NULL, o_orderkey, CAST(first_line AS INTEGER), 0 FROM claims c JOIN docs ON o_custkey = c_custkey
+LEFT JOIN (SELECT l_orderkey, min(l_linenumber) AS first_line FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey WHERE cdef = 41"""))
+def flatten_siblings(spark, sf_dir):
+    # a row per claim, with its sibling (the subscriber's name, absent in some documents) and the first loop below it
+    wide = lookup.flatten(lake(spark, sf_dir, "dirty").located, [
+        Field("subscriber", "2010BA", "NM1", 9), Field("name", "2010BA", "NM1", 3), Field("first_line", "2400", "LX", 1, cast="int"),
+        Field("claim", "2300", "CLM", 1, cast="bigint")], SPEC)
+    return wide.select("file_id", "subscriber", "name", "claim", "first_line", F.when(F.col("inst_2010BA").isNull(), 0).otherwise(1).alias("named"))
 
 
 @query("same_document", sql("""

@@ -46,7 +46,7 @@ def test_hot_customer_and_hot_order(spark, skewed, monkeypatch):
     assert total.agg(F.max("n")).first()[0] > 4 * sizes[True][1]
 
     rows = located(raw)
-    wide = lookup.flatten(rows, FIELDS).select("file_id", "claim", "line", "part", "charge")
+    wide = lookup.flatten(rows, FIELDS, SPEC).select("file_id", "claim", "line", "part", "charge")
     want = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").cast("string").alias("file_id"), F.col("o_orderkey").alias("claim"), F.col("l_linenumber").alias("line"),
         F.col("l_partkey").alias("part"), F.col("l_extendedprice").cast("decimal(18,2)").alias("charge"))

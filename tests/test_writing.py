@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from edilake.operators import edits, framing, loops, lookup, writing
 from edilake.operators.lookup import Address
 from edilake.plans.spec_xml import to_xml
+from edilake.specs.catalog import professional_claim
 from edilake.sources import files
 from edilake.specs.catalog import all_specs
 from edilake.specs.model import parse_spec_xml
@@ -197,11 +198,13 @@ def test_files_and_stream(spark, tmp_path):
 
 
 def test_flatten_keeps_loops_without_the_values(spark):
-    columns = "file_id string, loop_id string, node string, seg_id string, elements array<string>, pos long, loop_inst long, path_inst array<long>, role string, sep struct<comp:string>, fault string"
-    rows = [("f", "2300", "2300", "CLM", ["CLM", "c1"], 1, 2, [2], "start", (":",), None),
-            ("f", "2400", "2300/2400", "LX", ["LX", "1"], 2, 4, [2, 4], "start", (":",), None),
-            ("f", "2400", "2300/2400", "SV1", ["SV1", "x", "5"], 3, 4, [2, 4], "body", (":",), None),
-            ("f", "2400", "2300/2400", "LX", ["LX", "2"], 4, 8, [2, 8], "start", (":",), None)]
+    columns = "file_id string, loop_id string, node string, seg_id string, elements array<string>, pos long, loop_inst long, path_inst array<long>, role string, sep struct<comp:string>, fault int"
+    claim = "ISA_LOOP/GS_LOOP/ST_LOOP/DETAIL/2000A/2000B/2300"
+    open_ = [10, 11, 12, 13, 14, 15]
+    rows = [("f", "2300", claim, "CLM", ["CLM", "c1"], 1, 2, [*open_, 2], "start", (":",), 0),
+            ("f", "2400", claim + "/2400", "LX", ["LX", "1"], 2, 4, [*open_, 2, 4], "start", (":",), 0),
+            ("f", "2400", claim + "/2400", "SV1", ["SV1", "x", "5"], 3, 4, [*open_, 2, 4], "body", (":",), 0),
+            ("f", "2400", claim + "/2400", "LX", ["LX", "2"], 4, 8, [*open_, 2, 8], "start", (":",), 0)]
     got = lookup.flatten(spark.createDataFrame(rows, columns), [
-        lookup.Field("diagnosis", "2300", "HI", 1), lookup.Field("charge", "2400", "SV1", 2)]).collect()
+        lookup.Field("diagnosis", "2300", "HI", 1), lookup.Field("charge", "2400", "SV1", 2)], professional_claim()).collect()
     assert sorted((r["charge"] or "", r["diagnosis"]) for r in got) == [("", None), ("5", None)]

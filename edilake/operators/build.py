@@ -4,28 +4,29 @@
 one claim per order, one service line per order line. Segment text is made by projection, lines are gathered per
 claim and claims per interchange.
 
-A group is gathered in one row only while it is small. Claims and customers above ``limit`` segments are found
-first by counting their keys (there can be at most ``total / limit`` of them, so their list can be broadcast) and
-are written in several bounded parts of one document.
+A group is gathered in one row only while it is small. Customers above ``limit`` segments are found first by counting
+their keys; their claims and lines are sorted over the cluster, by the same order as in short documents, and leave in
+pieces of ``ROWS_PER_CHUNK`` rows. So a document's text does not depend on the limit, however long it or one of its
+claims is.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import store
 from .framing import SLICE_SEGMENTS, raw_part
 from .writing import assemble
 
-MAX_LONG_KEYS = 1_000_000
-ORDERS_PER_PART = 64
 ROWS_PER_CHUNK = 8192
 VERSION = "005010X222A1"
 
-# order of the parts of a long document: head, claims by order key, claims that are long themselves, trailer
-HEAD_PART, LONG_CLAIMS, TRAILER_PART, CHUNK_BITS = -1, 1 << 61, (1 << 63) - 1, 22
+# order of the parts of a long document: head, pieces of the body, trailer
+HEAD_PART, TRAILER_PART = -1, (1 << 63) - 1
 
 
 @dataclass(frozen=True)
@@ -190,6 +191,10 @@ def _file_key(custkey: Column, v: Variant) -> Column:
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
 
 
+def _copies(v: Variant) -> Column:
+    return F.when(F.col("o_orderkey") % 9 == 0, 2).otherwise(1) if v.copies else F.lit(1)
+
+
 def claim_texts(lineitem: DataFrame, orders: DataFrame, variant: Variant = CLEAN) -> DataFrame:
     """W1, one row per order: the claim and its lines as text (``o_orderkey, o_custkey, n_lines, text``). Both
     sides are hashed on the order key once, and the grouping reuses that partitioning."""
@@ -197,7 +202,7 @@ def claim_texts(lineitem: DataFrame, orders: DataFrame, variant: Variant = CLEAN
     columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
     lines = (line_texts(lineitem, orders.select("o_orderkey", "o_custkey"), variant)
              .groupBy("l_orderkey").agg(_joined(*LINE_ORDER).alias("lines"), F.count("*").alias("n_lines")))
-    copies = F.when(F.col("o_orderkey") % 9 == 0, 2).otherwise(1) if variant.copies else F.lit(1)
+    copies = _copies(variant)
     text = F.concat(_claim_text(t, variant), F.coalesce("lines", F.lit("")))
     return (orders.select(*columns).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .select("o_orderkey", "o_custkey", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), copies.alias("copies"),
@@ -226,22 +231,17 @@ def _raw(rows: DataFrame, minor: Column, multi: bool, v: Variant, content: Colum
 
 
 def claim_documents(customer: DataFrame, orders: DataFrame, lineitem: DataFrame, variant: Variant = CLEAN,
-                    limit: int | None = None) -> DataFrame:
-    """``raw`` documents for all customers with orders."""
+                    limit: int = SLICE_SEGMENTS) -> DataFrame:
+    """``raw`` documents for all customers with orders. Documents of more than ``limit`` segments leave in parts."""
     v = variant
     orders = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
-    sizes = customer_sizes(orders, lineitem)
-    if limit is None:
-        limit = max(SLICE_SEGMENTS, 3 * lineitem.count() // MAX_LONG_KEYS)
-    long_customers = sizes.where(2 * F.col("n_orders") + 3 * F.col("n_lines") > limit)
+    sizes = customer_sizes(orders, lineitem, v).where(2 * F.col("n_orders") + 3 * F.col("n_lines") > limit)
+    # a list of at most total / limit customers, read by several joins
+    long_customers = store(sizes, f"long-customers/{uuid.uuid4().hex}")
     has_long = not long_customers.isEmpty()
 
-    short_orders, short_lines = orders, lineitem
-    if has_long:
-        long_customers = F.broadcast(long_customers)
-        short_orders = orders.join(long_customers, "o_custkey", "left_anti")
-        short_lines = lineitem.join(_long_keys(lineitem, limit), "l_orderkey", "left_anti")
-    bodies = claim_texts(short_lines, short_orders, v).groupBy("o_custkey").agg(
+    short_orders = orders.join(long_customers, "o_custkey", "left_anti") if has_long else orders
+    bodies = claim_texts(lineitem, short_orders, v).groupBy("o_custkey").agg(
         _joined("o_orderkey").alias("body"), F.sum("copies").alias("n_orders"),
         F.sum(F.col("copies") * F.col("n_lines")).alias("n_lines"))
     documents = _document(customer, v).join(bodies, F.col("c_custkey") == F.col("o_custkey"))
@@ -249,59 +249,36 @@ def claim_documents(customer: DataFrame, orders: DataFrame, lineitem: DataFrame,
     whole = F.concat("first", "rest", "body", _trailer_text(t, F.col("n_orders"), F.col("n_lines")))
     raw = _raw(documents, F.lit(0), v.packs is not None, v, whole)
     if has_long:
-        raw = raw.unionByName(_long_documents(customer, orders, lineitem, long_customers, v, limit))
+        raw = raw.unionByName(_long_documents(customer, orders, lineitem, long_customers, v))
     return raw
 
 
-def _long_keys(lineitem: DataFrame, limit: int) -> DataFrame:
-    """Orders with more lines than a part may hold; at most ``3 * lines / limit`` of them."""
-    counts = lineitem.groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    return F.broadcast(counts.where(3 * F.col("n") > limit).select("l_orderkey"))
-
-
-def customer_sizes(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Orders and lines per customer; reads keys only and combines them before each shuffle."""
+def customer_sizes(orders: DataFrame, lineitem: DataFrame, variant: Variant = CLEAN) -> DataFrame:
+    """Claims and lines per customer; reads keys only and combines them before each shuffle."""
     lines = lineitem.groupBy("l_orderkey").agg(F.count("*").alias("n"))
     return (orders.select("o_orderkey", "o_custkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-            .groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_lines")))
+            .groupBy("o_custkey").agg(F.sum(_copies(variant)).alias("n_orders"), F.coalesce(F.sum(_copies(variant) * F.col("n")), F.lit(0)).alias("n_lines")))
 
 
-def _long_documents(customer: DataFrame, orders: DataFrame, lineitem: DataFrame, long_customers: DataFrame,
-                    v: Variant, limit: int) -> DataFrame:
-    """Customers above the limit, in parts of at most ``ORDERS_PER_PART`` orders. An order above the limit has a
-    part for its claim and one for each chunk of its lines; such orders come last in the document. Their lines
-    keep the order of the source by chunk."""
+def _long_documents(customer: DataFrame, orders: DataFrame, lineitem: DataFrame, long_customers: DataFrame, v: Variant) -> DataFrame:
+    """Customers above the limit: one row per claim head and line, range partitioned by customer, order, copy and the
+    order of lines, and cut every ``ROWS_PER_CHUNK`` rows. The number of a piece is the place of its rows in the global
+    sort, so pieces of a document ascend; rows that the sort can't tell apart have the same text."""
     head = _document(customer, v).join(long_customers, F.col("c_custkey") == F.col("o_custkey")).drop("o_custkey")
     t = _Text(_file_key(F.col("c_custkey"), v))
-    n_orders, n_lines = F.col("n_orders"), F.col("n_lines")
     ends = (_raw(head, F.lit(HEAD_PART), True, v, F.concat("first", "rest"))
-            .unionByName(_raw(head, F.lit(TRAILER_PART), True, v, _trailer_text(t, n_orders, n_lines))))
-    names = head.select("c_custkey", "file_id", "first")
-
-    orders = orders.join(F.broadcast(long_customers.select("o_custkey")), "o_custkey", "left_semi")
-    long_keys = _long_keys(lineitem, limit)
-    is_long = [F.col("o_orderkey") == F.col("l_orderkey")]
-    long_orders, short_orders = orders.join(long_keys, is_long, "left_semi"), orders.join(long_keys, is_long, "left_anti")
-    by_customer = F.col("o_custkey") == F.col("c_custkey")
-
-    claims = claim_texts(lineitem.join(long_keys, "l_orderkey", "left_anti"), short_orders, v)
-    short = (claims.withColumn("minor", F.floor(F.col("o_orderkey") / ORDERS_PER_PART))
-             .groupBy("o_custkey", "minor").agg(_joined("o_orderkey").alias("body")))
-    short = _raw(short.join(names, by_customer), F.col("minor"), True, v, F.col("body"))
-
-    at = F.lit(LONG_CLAIMS) + F.shiftleft(F.col("o_orderkey"), CHUNK_BITS)
-    claim = long_orders.join(names, by_customer).withColumn("text", _claim_text(t, v))
-    claim = _raw(claim, at, True, v, F.col("text"))
-    chunked = lineitem.withColumn("chunk", _source_chunk()).join(long_keys, "l_orderkey", "left_semi")
-    # the long orders are few (bounded by total / limit), so the lines need no shuffle on the hot key
-    texts = line_texts(chunked, F.broadcast(long_orders.select("o_orderkey", "o_custkey")), v)
-    lines = texts.groupBy("o_orderkey", "o_custkey", "chunk").agg(_joined(*LINE_ORDER).alias("body"))
-    lines = _raw(lines.join(names, by_customer), at + F.col("chunk"), True, v, F.col("body"))
-    return ends.unionByName(short).unionByName(claim).unionByName(lines)
-
-
-def _source_chunk() -> Column:
-    """A number from 1 up that is equal for about ``ROWS_PER_CHUNK`` neighbouring rows of the source. It depends
-    on the stored row only, so a retried task gives the same number; the table must come straight from files."""
-    where = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / ROWS_PER_CHUNK))
-    return F.pmod(where, F.lit((1 << CHUNK_BITS) - 1)) + 1
+            .unionByName(_raw(head, F.lit(TRAILER_PART), True, v, _trailer_text(t, F.col("n_orders"), F.col("n_lines")))))
+
+    orders = orders.join(long_customers.select("o_custkey"), "o_custkey", "left_semi")
+    copy = F.explode(F.sequence(F.lit(1), _copies(v))).alias("copy")
+    lines = line_texts(lineitem, orders.select("o_orderkey", "o_custkey"), v).select("o_custkey", "o_orderkey", copy, *LINE_ORDER, "text")
+    claim_text = _claim_text(_Text(_file_key(F.col("o_custkey"), v)), v)
+    # a claim comes before its lines, as its line number is null
+    heads = orders.select("o_custkey", "o_orderkey", copy, *[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in LINE_ORDER],
+                          claim_text.alias("text")).withColumn("is_line", F.lit(False))
+    order = ["o_custkey", "o_orderkey", "copy", "is_line", *LINE_ORDER]
+    rows = heads.unionByName(lines.withColumn("is_line", F.lit(True))).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = rows.withColumn("at", F.monotonically_increasing_id())
+    bodies = (rows.groupBy("o_custkey", F.floor(F.col("at") / ROWS_PER_CHUNK).alias("minor")).agg(_joined("at").alias("body"))
+              .join(head.select("c_custkey", "file_id", "first"), F.col("o_custkey") == F.col("c_custkey")))
+    return ends.unionByName(_raw(bodies, F.col("minor"), True, v, F.col("body")))

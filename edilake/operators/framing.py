@@ -37,6 +37,11 @@ def raw_part(major: Column | None = None, minor: Column | None = None) -> Column
                     F.lit(0).alias("slice"))
 
 
+def good_delimiters(text: str) -> bool:
+    """Whether a text of an ISA's length has characters that can be delimiters in their places."""
+    return not any(c.isalpha() or c.isdecimal() or c.isspace() for c in (text[ELEMENT_AT - 1], text[COMPOSITE_AT - 1], text[SEGMENT_AT - 1]))
+
+
 def as_raw(documents: DataFrame, file_id: str = "file_id", content: str = "content") -> DataFrame:
     """Give a table of whole documents (one row each, well under the 2 GB row limit) the ``raw`` schema."""
     return documents.select(

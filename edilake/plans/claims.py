@@ -808,45 +808,66 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/files/{name}-{uuid.uuid4().hex}"
 
 
+def _read_back(spark: SparkSession, sf_dir: str, variant: str, **options) -> DataFrame:
+    """The documents of a variant, written as files and read again."""
+    folder = _folder(spark, variant)
+    files.write_edi(writing.write_spec_order(lake(spark, sf_dir, variant).located, SPEC), folder)
+    return framing.frame(files.read_edi(spark, folder, **options), SPEC.spec_id)
+
+
 @query("read_edi", sql("""
 SELECT c_custkey AS control, 19 + 2 * n_orders + 3 * n_lines AS n, CASE WHEN c_custkey % 7 = 0 THEN '|' ELSE '~' END AS seg
 FROM docs"""))
 def read_edi(spark, sf_dir):
-    folder = _folder(spark, "edi")
-    files.write_edi(writing.write_spec_order(lake(spark, sf_dir).located, SPEC), folder)
-    framed = framing.frame(files.read_edi(spark, f"{folder}/whole/*/*.txt"), SPEC.spec_id)
-    rows = loops.number_envelopes(framing.cut_elements(framing.cut_segments(framed)))
+    rows = loops.number_envelopes(framing.cut_elements(framing.cut_segments(_read_back(spark, sf_dir, "clean"))))
     return rows.groupBy("file_id", "isa_no", "sep.seg").agg(
         F.max(F.when(F.col("seg_id") == "ISA", element(13).cast("bigint"))).alias("control"), F.count("*").alias("n"),
     ).select("control", "n", "seg")
 
 
-@query("read_edi_long", sql("""
+LOOPS_READ = """
 SELECT control, loop_id, CAST(n AS BIGINT) AS n FROM (
-  SELECT c_custkey AS control, '2300' AS loop_id, n_orders AS n FROM docs WHERE c_custkey % 7 <> 0
-  UNION ALL SELECT c_custkey, '2400', n_lines FROM docs WHERE c_custkey % 7 <> 0 AND n_lines > 0) t"""))
-def read_edi_long(spark, sf_dir):
-    # the reader for files of any length takes one segment separator
-    folder = _folder(spark, "long")
-    files.write_edi(writing.write_spec_order(lake(spark, sf_dir).located, SPEC), folder)
-    raw = files.read_edi_long(spark, f"{folder}/{files.delimiter_folder('~', '*', ':')}", "~")
-    located = loops.assign_loops(framing.cut_elements(framing.cut_segments(framing.frame(raw, SPEC.spec_id))), SPEC)
+  SELECT c_custkey AS control, '2300' AS loop_id, n_orders AS n FROM docs
+  UNION ALL SELECT c_custkey, '2400', n_lines FROM docs WHERE n_lines > 0) t"""
+
+
+def _loops_read(framed: DataFrame) -> DataFrame:
+    located = loops.assign_loops(framing.cut_elements(framing.cut_segments(framed)), SPEC)
     roots = located.where(F.col("seg_id") == "ISA").select("file_id", "isa_no", element(13).cast("bigint").alias("control"))
     starts = located.where((F.col("role") == "start") & F.col("loop_id").isin("2300", "2400"))
     return starts.groupBy("file_id", "isa_no", "loop_id").agg(F.count("*").alias("n")).join(roots, ["file_id", "isa_no"]).select(
         "control", "loop_id", "n")
 
 
+@query("read_edi_long", sql(LOOPS_READ))
+def read_edi_long(spark, sf_dir):
+    # every file as byte ranges, with whatever delimiters it has
+    return _loops_read(_read_back(spark, sf_dir, "clean", whole_bytes=0))
+
+
+@query("read_edi_folders", sql(LOOPS_READ))
+def read_edi_folders(spark, sf_dir):
+    # documents of many parts, each a folder of files
+    return _loops_read(_read_back(spark, sf_dir, "packed"))
+
+
 @query("read_edi_stream", sql("""
-SELECT loop_id, CAST(n AS BIGINT) AS n FROM (
-  SELECT '2300' AS loop_id, count(*) AS n FROM orders UNION ALL SELECT '2400', count(*) FROM lineitem) t"""))
+SELECT kind, file_id, CAST(n AS BIGINT) AS n FROM (
+  SELECT '2300' AS kind, pack AS file_id, sum(n_orders) AS n FROM packs GROUP BY 2
+  UNION ALL SELECT '2400', pack, sum(n_lines) FROM packs GROUP BY 2
+  UNION ALL SELECT unnest(['Error getting separators', 'Unable to process transaction!']), NULL, 2) t""", PACKS))
 def read_edi_stream(spark, sf_dir):
+    # folders of documents, and two files that cannot be read, as they arrive; errors have a table of their own
     folder = _folder(spark, "stream")
-    files.write_edi(writing.write_spec_order(lake(spark, sf_dir).located, SPEC), f"{folder}/in")
-    raw = landing.read_edi_stream(spark, f"{folder}/in/whole/*/*.txt")
-    landing.parse_stream(raw, SPEC, f"{folder}/table", f"{folder}/state").awaitTermination()
+    files.write_edi(writing.write_spec_order(lake(spark, sf_dir, "packed").located, SPEC), f"{folder}/in/documents")
+    spark.createDataFrame([("nothing to read",), ("ISA*",)], "text string").repartition(2).write.text(f"{folder}/in/other")
+    raw = landing.read_edi_stream(spark, f"{folder}/in")
+    landing.parse_stream(raw, SPEC, f"{folder}/table", f"{folder}/state", errors=f"{folder}/errors").awaitTermination()
     starts = spark.read.parquet(f"{folder}/table").where((F.col("role") == "start") & F.col("loop_id").isin("2300", "2400"))
-    return starts.groupBy("loop_id").agg(F.count("*").alias("n"))
+    name = F.regexp_extract("file_id", "file_id=([^/]+)$", 1)
+    bad = spark.read.parquet(f"{folder}/errors").groupBy(F.col("message").alias("kind")).agg(F.count("*").alias("n"))
+    return starts.groupBy(F.col("loop_id").alias("kind"), name.alias("file_id")).agg(F.count("*").alias("n")).unionByName(
+        bad.select("kind", F.lit(None).cast("string").alias("file_id"), "n"))
 
 
 @query("load_spec", sql("""

@@ -177,7 +177,7 @@ def test_files_and_stream(spark, tmp_path):
     want = sorted((r.file_id[-5:], r.isa_no, r.loop_id, r.role, r.pos) for r in located.collect())
     assert len(want) == 6 * len(DOC)
 
-    by_block = framing.frame(files.read_edi_long(spark, str(folder)), samples.SPEC.spec_id)
+    by_block = framing.frame(files.read_edi(spark, str(folder), whole_bytes=0), samples.SPEC.spec_id)
     long = loops.assign_loops(framing.cut_elements(framing.cut_segments(by_block)), samples.SPEC)
     assert sorted((r.file_id[-5:], r.isa_no, r.loop_id, r.role, r.pos) for r in long.collect()) == want
 
@@ -208,3 +208,40 @@ def test_flatten_keeps_loops_without_the_values(spark):
     got = lookup.flatten(spark.createDataFrame(rows, columns), [
         lookup.Field("diagnosis", "2300", "HI", 1), lookup.Field("charge", "2400", "SV1", 2)], professional_claim()).collect()
     assert sorted((r["charge"] or "", r["diagnosis"]) for r in got) == [("", None), ("5", None)]
+
+
+def test_files_of_any_length_and_delimiter(spark, tmp_path, monkeypatch):
+    """Byte ranges that start anywhere, every file with its own delimiters, names with blanks and signs, a folder that is
+    a document, an unreadable file, and a charset."""
+    long_ = samples.document(*[samples.claim(i, 3) for i in range(1, 40)])
+    folder = tmp_path / "in"
+    (folder / "deep er" / "file_id=big=1").mkdir(parents=True)
+    texts_ = {"a b+c%20.txt": samples.text(long_), "deep er/x.txt": samples.text(long_, "|", "^", ">", line_break="\r\n"),
+              "two.txt": samples.text(DOC, "!", "*", ":") * 2}
+    for name, text in texts_.items():
+        (folder / name).write_text(text)
+    whole = samples.text(long_)
+    for i, cut in enumerate(range(0, len(whole), 1000)):
+        end = whole.rfind("~", 0, min(cut + 1000, len(whole))) + 1
+        start = whole.rfind("~", 0, cut) + 1 if cut else 0
+        (folder / "deep er" / "file_id=big=1" / f"part-{i:05d}.txt").write_text(whole[start:end] + "\n")
+    (folder / "bad.txt").write_text("nothing here")
+
+    def segments(raw):
+        framed = framing.frame(raw, samples.SPEC.spec_id)
+        rows = loops.assign_loops(framing.cut_elements(framing.cut_segments(framed)), samples.SPEC).collect()
+        bad = {r.file_id.rsplit("/", 1)[1] for r in framing.quarantine(framed, samples.SPEC.spec_id).collect()}
+        return sorted((r.file_id.rsplit("/", 1)[1], r.pos, r.isa_no, r.loop_id or "", tuple(r.path_inst), tuple(r.elements)) for r in rows), bad
+
+    want, bad = segments(files.read_edi(spark, str(folder)))
+    assert bad == {"bad.txt"} and {r[0] for r in want} == {"a b+c%20.txt", "x.txt", "two.txt", "file_id=big=1"}
+    assert sum(r[0] == "file_id=big=1" for r in want) == sum(r[0] == "x.txt" for r in want) == len(long_)
+    monkeypatch.setattr(files, "SLICE_SEGMENTS", 7)
+    # ranges far shorter than a file, and some shorter than a segment
+    for size in (700,):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            assert segments(files.read_edi(spark, str(folder), whole_bytes=0)) == (want, bad)
+            assert segments(files.read_edi(spark, str(folder), "ISO-8859-1", whole_bytes=2000)) == (want, bad)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edilake.llm.io import keep
+from edilake.llm.io import keep, remove
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,10 +16,13 @@ def components(links: DataFrame) -> DataFrame:
     labels = keep(edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct(), "labels")
     while not edges.isEmpty():
         parents = keep(edges.groupBy("a").agg(F.min("b").alias("p")).select("a", F.least("a", "p").alias("p")), "parents")
-        labels = keep(labels.join(parents, labels["label"] == parents["a"], "left")
-                      .select("node", F.coalesce("p", "label").alias("label")), "labels")
+        new_labels = keep(labels.join(parents, labels["label"] == parents["a"], "left")
+                          .select("node", F.coalesce("p", "label").alias("label")), "labels")
         left = edges.join(parents, "a").select(F.col("p").alias("pa"), F.col("b").alias("a"))
-        edges = keep(left.join(parents, "a").select(F.col("pa").alias("a"), F.col("p").alias("b")).where("a <> b").distinct(), "edges")
+        new_edges = keep(left.join(parents, "a").select(F.col("pa").alias("a"), F.col("p").alias("b")).where("a <> b").distinct(), "edges")
+        remove(edges, labels, parents)
+        edges, labels = new_edges, new_labels
+    remove(edges)
     return labels
 
 
@@ -31,4 +34,6 @@ def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
     more = components(placed.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
     renamed = more.select(F.col("node").alias("label"), F.col("label").alias("now"))
     old = labels.join(renamed, "label", "left").select("node", F.coalesce("now", "label").alias("label"))
-    return keep(old.union(more.join(labels.select("node"), "node", "left_anti").select("node", "label")), "labels")
+    out = keep(old.union(more.join(labels.select("node"), "node", "left_anti").select("node", "label")), "labels")
+    remove(more)
+    return out

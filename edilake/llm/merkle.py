@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from edilake.llm.io import keep
+from edilake.llm.io import keep, remove
 
 FANOUT = 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -112,7 +112,10 @@ def manifest(rows: DataFrame, leaf: Column, group: str = "source", order: str =
     leaves = rows.select(F.col(group).isNotNull().alias("__given"), F.coalesce(F.col(group).cast("string"), F.lit("")).alias("__group"),
                          F.col(order).alias("__order"), leaf.alias("digest"), *extra)
     # the texts are read once: sampling for the ranges reads the digests
-    low = levels(numbered(keep(leaves, "leaves"), key, [F.col("__order").asc_nulls_first(), F.col("digest").asc()]), key, fanout)
+    leaves = keep(leaves, "leaves")
+    placed = numbered(leaves, key, [F.col("__order").asc_nulls_first(), F.col("digest").asc()])
+    remove(leaves)
+    low = levels(placed, key, fanout)
     subroots = tops(low, key).withColumn("__all", F.lit(0))
     high = levels(numbered(subroots, ["__all"], [F.col(c).asc() for c in key]), ["__all"], fanout)
     above = keep(with_paths(high, ["__all"], fanout=fanout).select(*key, "path", F.col("top").alias("__root")), "groups")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from edilake.llm import tokens
 from edilake.llm.components import components, extended
-from edilake.llm.io import keep
+from edilake.llm.io import keep, remove
 
 BANDS, ROWS = 32, 5
 SLACK = 0.15
@@ -183,9 +183,9 @@ def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     return keep(placed.join(mixed, "bucket"), "open")
 
 
-def blocks(members: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def blocks(members: DataFrame, chunk: int = CHUNK, made: list[DataFrame] | None = None) -> DataFrame:
     """``members`` (bucket, key, label) dealt to blocks (bucket, x, y), so that any two of a bucket with different labels meet in
-    one. A bucket of up to ``chunk`` members is a block. Larger ones are cut into chunks, which meet in pairs; a label of
+    one. Tables kept on the way are added to ``made``. A bucket of up to ``chunk`` members is a block. Larger ones are cut into chunks, which meet in pairs; a label of
     more members has chunks of its own, which do not meet each other."""
     sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("n_label"))
     totals = sizes.groupBy("bucket").agg(F.sum("n_label").alias("n"))
@@ -200,6 +200,8 @@ def blocks(members: DataFrame, chunk: int = CHUNK) -> DataFrame:
     pairs = chunks.select("bucket", F.col("chunk").alias("x"), F.col("own").alias("own_x")).join(
         chunks.select("bucket", F.col("chunk").alias("y"), F.col("own").alias("own_y")), "bucket")
     pairs = keep(pairs.where((F.col("x") <= F.col("y")) & ~F.coalesce(F.col("own_x") == F.col("own_y"), F.lit(False))).select("bucket", "x", "y"), "pairs")
+    if made is not None:
+        made += [cut, pairs]
     sides = pairs.withColumn("chunk", F.col("x")).union(pairs.where("x <> y").withColumn("chunk", F.col("y")))
     return small.union(cut.join(sides, ["bucket", "chunk"]).select("bucket", "x", "y", "chunk", "key", "label"))
 
@@ -264,34 +266,43 @@ def judged(docs: DataFrame, width: int, percent: int, bands: int = BANDS, rows:
     classes = keep(sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key")
                    .agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("n_shingles", "bands", "marks", "map")).alias("s"))
                    .select("key", "doc_id", "s.*"), "classes")
+    known = keep(sketch.select("doc_id", *carry, "key", "n_shingles"), "known")
+    remove(sketch)
     buckets = classes.select("key", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = keep(buckets.join(shared, "bucket"), "members")
-    weights = keep(members.groupBy("key").agg(F.sum("n").alias("weight")), "weights")
+    with_sizes = keep(buckets.join(shared, "bucket"), "members")
+    weights = keep(with_sizes.groupBy("key").agg(F.sum("n").alias("weight")), "weights")
     company = classes.join(weights, "key")
     texts = keep(class_texts(docs, company.select("key", "doc_id")), "texts")
     signatures = keep(company.select("key", "n_shingles", "marks", "map"), "signatures")
-    members = members.select("bucket", "key")
+    members = with_sizes.select("bucket", "key")
 
     def links_of(edges: DataFrame) -> DataFrame:
         return keep(confirmed(likely(edges, signatures, percent, bands * rows), texts, width, percent), "links")
 
     # the first centre of a bucket is its member with the most company, which near copies have been made from
-    hubs = (members.join(weights, "key").groupBy("bucket").agg(F.max(F.struct("weight", "key"))["key"].alias("centre")))
+    hubs = keep(members.join(weights, "key").groupBy("bucket").agg(F.max(F.struct("weight", "key"))["key"].alias("centre")), "hubs")
     closer = company.select("key", F.explode(F.transform("bands", lambda x, i: F.xxhash64(x, F.element_at("bands", (i + 1) % bands + 1)))).alias("bucket"))
     nearest = closer.groupBy("bucket").agg(F.min_by("key", F.xxhash64("key", "bucket")).alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n")
     links = links_of(star(members.join(hubs, "bucket")).union(star(closer.join(nearest, "bucket"))))
-    labels = components(links)
+    remove(weights)
+    starred = components(links)
     # a hub has been compared with all members of its bucket
     others = members.join(hubs, "bucket").where("key <> centre").select("bucket", "key")
-    new = keep(confirmed(linkable(blocks(open_members(others, labels)), signatures, percent, bands * rows), texts, width, percent), "links")
-    labels = extended(labels, new)
+    opened = open_members(others, starred)
+    remove(with_sizes, hubs, links)
+    made: list[DataFrame] = []
+    new = keep(confirmed(linkable(blocks(opened, made=made), signatures, percent, bands * rows), texts, width, percent), "links")
+    remove(texts, signatures, opened, *made)
+    labels = extended(starred, new)
+    remove(starred, new)
     smallest = (classes.select("key", "doc_id").join(labels, F.col("key") == F.col("node"), "left")
                 .select("key", "doc_id", F.coalesce("label", "key").alias("label")))
     ids = smallest.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of_class = keep(smallest.join(ids, "label").select("key", "label", "component_id"), "components")
+    remove(classes, labels)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return (sketch.select("doc_id", *carry, "key", "n_shingles").join(of_class, "key", "left")
+    return (known.join(of_class, "key", "left")
             .select("doc_id", *carry, "label", "n_shingles", component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 

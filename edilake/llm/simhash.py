@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from edilake.llm import tokens
 from edilake.llm.components import components
-from edilake.llm.io import keep
+from edilake.llm.io import keep, remove
 
 BITS, HALF = 64, 32
 UNIT, FIRST, STEP = 4096, 8, 4
@@ -193,6 +193,8 @@ def prefix(value: Column, depth: int) -> Column:
 def node_pairs(entries: DataFrame, most: int, unit: int = UNIT) -> DataFrame:
     """turn, depth, a, b, diff: pairs of trie nodes (a <= b) that together hold all linked pairs of ``entries`` (turn, v),
     each with ``unit`` fingerprints at most or of full depth."""
+    made = []
+
     def nodes(depth):
         return entries.groupBy("turn", prefix(F.col("v"), depth).alias("p")).agg(F.count("*").alias("n"))
 
@@ -203,14 +205,18 @@ def node_pairs(entries: DataFrame, most: int, unit: int = UNIT) -> DataFrame:
     while True:
         held = F.when(F.col("a") == F.col("b"), F.col("n_a")).otherwise(F.col("n_a") + F.col("n_b"))
         pairs = keep(pairs.withColumn("ready", (held <= unit) | F.lit(depth == BITS)), "node_pairs")
+        made.append(pairs)
         done = pairs.where("ready").select("turn", F.lit(depth).alias("depth"), "a", "b", "diff")
         ready = done if ready is None else ready.unionByName(done)
         open_ = pairs.where("NOT ready")
         if depth == BITS or open_.isEmpty():
-            return ready
+            out = keep(ready, "units")
+            remove(*made)
+            return out
         depth, step, before = depth + step, STEP, depth
         limit = F.lit(most) if depth > HALF else F.when(F.col("turn") == 0, budget(depth, 0, most)).otherwise(budget(depth, 1, most))
         children = keep(nodes(depth).withColumn("parent", F.shiftrightunsigned("p", depth - before) if before else F.lit(0).cast("bigint")), "nodes")
+        made.append(children)
         side = lambda x: children.select("turn", F.col("parent").alias(x), F.col("p").alias(f"c_{x}"), F.col("n").alias(f"n_{x}"))
         both = open_.drop("n_a", "n_b", "ready").join(side("a"), ["turn", "a"]).join(side("b"), ["turn", "b"])
         differ = F.col("diff") + F.bit_count(F.col("c_a").bitwiseXOR(F.col("c_b")).bitwiseAND(F.lit((1 << (depth - before)) - 1)))
@@ -224,7 +230,7 @@ def near_links(values: DataFrame, most: int = 4, unit: int = UNIT) -> DataFrame:
     swapped = F.shiftleft("fp", HALF).bitwiseOR(F.shiftrightunsigned("fp", HALF))
     entries = keep(values.select(F.inline(F.array(F.struct(F.lit(0).alias("turn"), F.col("fp").alias("v")),
                                                   F.struct(F.lit(1).alias("turn"), swapped.alias("v"))))), "entries")
-    pairs = keep(node_pairs(entries, most, unit), "units")
+    pairs = node_pairs(entries, most, unit)
     depths = sorted(r["depth"] for r in pairs.select("depth").distinct().collect())
     named = pairs.select("turn", "depth", F.explode(F.array("a", "b")).alias("p")).distinct()
     of_node = None
@@ -256,16 +262,20 @@ def near_links(values: DataFrame, most: int = 4, unit: int = UNIT) -> DataFrame:
     side = lambda x: held.select("turn", "depth", F.col("p").alias(x), F.col("v").alias(f"v{x}"))
     units = pairs.join(side("a"), ["turn", "depth", "a"]).join(side("b"), ["turn", "depth", "b"])
     found = units.select("turn", "depth", "diff", same.alias("same"), "va", F.when(~same, F.col("vb")).alias("vb"))
-    return found.mapInArrow(run, "a bigint, b bigint").distinct()
+    links = keep(found.mapInArrow(run, "a bigint, b bigint").distinct(), "links")
+    remove(entries, pairs, held)
+    return links
 
 
 def linked(docs: DataFrame, width: int = 4, most: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id in reach over links) of every row."""
     rows = keep(fingerprints(docs, width, doc_id, text), "fingerprints")
     classes = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    labels = components(near_links(classes.select("fp"), most))
+    links = near_links(classes.select("fp"), most)
+    labels = components(links)
     placed = classes.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     ids = placed.groupBy("label").agg(F.min("first").alias("component_id"))
     of_class = keep(placed.join(ids, "label").select("fp", "component_id"), "components")
+    remove(classes, links, labels)
     return (rows.join(of_class, "fp")
             .select(F.col("doc_id").alias(doc_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))

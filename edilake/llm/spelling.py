@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edilake.llm import tokens
-from edilake.llm.io import keep
+from edilake.llm.io import keep, remove
 
 LEAST, TWICE, RATIO, NOISE = 7, 2, 10, 31
 BLOCK = 256
@@ -86,8 +86,9 @@ def halves(members: DataFrame) -> DataFrame:
     return cut.withColumn("key", group_key())
 
 
-def blocks(words: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(key, word, n): groups of words in which all near words meet, none above ``block`` unless its range is one place."""
+def blocks(words: DataFrame, block: int = BLOCK, made: list[DataFrame] | None = None) -> DataFrame:
+    """(key, word, n): groups of words in which all near words meet, none above ``block`` unless its range is one place.
+    Tables kept on the way are added to ``made``."""
     whole = words.select("word", "n", F.explode(F.array(F.length("word"), F.length("word") + 1)).alias("longer"))
     members = halves(whole.select("word", "n", "longer", F.lit(0).alias("low"), F.col("longer").alias("high")))
     out = None
@@ -99,6 +100,8 @@ def blocks(words: DataFrame, block: int = BLOCK) -> DataFrame:
         done = members.join(sizes.where((F.col("size") <= block) | (F.col("width") == 1)).select("key"), "key").select("key", "word", "n")
         out = done if out is None else out.unionByName(done)
         large = keep(sizes.where((F.col("size") > block) & (F.col("width") > 1)).select("key"), "large")
+        if made is not None:
+            made += [members, large]
         if large.isEmpty():
             return out
         # keys are hashes: a group of two ranges (a collision) is cut where it can be, and met again where it can't
@@ -192,11 +195,12 @@ def near_words(grouped: DataFrame) -> DataFrame:
 
 def roots(forms: DataFrame) -> DataFrame:
     """(word, root) of words that have a form: where their forms lead. Every round doubles the way."""
-    paths = keep(forms.select("word", F.col("form").alias("root")), "paths")
+    paths = held = keep(forms.select("word", F.col("form").alias("root")), "paths")
     while True:
         onward = paths.select(F.col("word").alias("root"), F.col("root").alias("next"))
         ahead = keep(paths.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "paths")
-        paths = ahead.select("word", "root")
+        remove(held)
+        paths, held = ahead.select("word", "root"), ahead
         if ahead.where("moved").isEmpty():
             return paths
 
@@ -204,12 +208,15 @@ def roots(forms: DataFrame) -> DataFrame:
 def variants(counts: DataFrame, ratio: int = RATIO, block: int = BLOCK) -> DataFrame:
     """word, form, root, n, n_near, form_n of the distinct words of ``counts`` (word, n)."""
     words = keep(counts, "words")
-    near = near_words(blocks(words, block))
+    made: list[DataFrame] = []
+    near = near_words(blocks(words, block, made))
     best = keep(near.groupBy("word").agg(F.count("*").alias("n_near"), F.max("near_n").alias("form_n"), F.min(F.struct((-F.col("near_n")).alias("m"), "near"))["near"].alias("form")), "best")
+    remove(*made)
     joined = words.join(best, "word", "left")
     formed = F.col("form_n") >= ratio * F.col("n")
     rows = keep(joined.select("word", F.when(formed, F.col("form")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
                               F.when(formed, F.col("form_n")).alias("form_n")), "forms")
+    remove(words, best)
     root = roots(rows.where("form IS NOT NULL"))
     return rows.join(root, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 

@@ -6,9 +6,9 @@ at all. The text is cut, split and matched to rules by Spark; only the rule numb
 through Arrow to the state walk in ``plans.walk``. The same walk as nested ``aggregate`` calls took 5 times as long.
 
 A document of several parts needs to know, at the start of each part, what is open there. Each part is first
-reduced to a small summary (for every possible state on entry, the state on exit), the summaries are composed in
-two levels of at most ``FANOUT`` rows, and each part gets its entry state by a join on its own key. So no task
-ever sees more of one document than one part, or ``FANOUT`` summaries.
+reduced to a small summary (for every possible state on entry, the state on exit), the summaries are scanned in as
+many levels as there need to be (``functions.scan``), and each part gets its entry state by a join on its own key. So no
+task ever sees more of one document than one part, or ``scan.FANOUT`` summaries.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import int_table, lookup, running_state
+from ..functions.scan import exclusive_scan
 from ..plans.automaton import (
     BODY, DROPPED, END, FAULT_GRANDPARENT_MISSING, FAULT_NEVER_OPENED, FAULT_PARENT_MISSING, FAULT_UNKNOWN_LOOP,
     START, Automaton, automaton_for, move_fault, move_role, move_state, move_wrapper)
@@ -26,8 +27,6 @@ from ..plans.walk import exit_states, walk_parts
 from ..session import store
 from ..specs.model import Spec
 
-FANOUT = 1024
-
 # envelope counters: interchanges of the file, groups of the interchange, sets of the group
 ENVELOPE = "struct<isa:bigint,gs:bigint,st:bigint>"
 
@@ -79,42 +78,21 @@ def _entry_states(parts: DataFrame, n_states: int, automaton: Automaton | None)
     """(file_id, part) -> base (segments before it), state, env (envelope counters) at the start of the part."""
     env = F.aggregate("marks", _envelope(), _count_envelope)
     exits = exit_states(automaton)("sigs") if automaton else int_table(range(n_states))
-    summary = parts.select(
-        "file_id", "part", F.size("marks").cast("bigint").alias("n"), exits.alias("exits"), env.alias("env"))
-    # one small row per part; the rank only groups neighbours
-    rank = F.row_number().over(Window.partitionBy("file_id").orderBy("part")) - 1
-    summary = summary.withColumn("blk", F.floor(rank / FANOUT))
-    item = f"struct<base:bigint,state:int,env:{ENVELOPE}>"
+    summary = parts.select("file_id", "part", F.struct(
+        F.size("marks").cast("bigint").alias("n"), exits.alias("exits"), env.alias("env")).alias("summary"))
 
-    def start() -> Column:
-        return F.struct(F.lit(0).cast("bigint").alias("base"), F.lit(0).alias("state"), _envelope().alias("env"))
+    def compose(a: Column, b: Column) -> Column:
+        return F.struct((a["n"] + b["n"]).alias("n"),
+                        F.transform(a["exits"], lambda s: F.element_at(b["exits"], s + 1)).alias("exits"),
+                        _join_envelopes(a["env"], b["env"]).alias("env"))
 
     def advance(s: Column, p: Column) -> Column:
         return F.struct((s["base"] + p["n"]).alias("base"), F.element_at(p["exits"], s["state"] + 1).alias("state"),
                         _join_envelopes(s["env"], p["env"]).alias("env"))
 
-    def entries(items: Column, initial: Column) -> Column:
-        """State before each item: the running state, shifted by one."""
-        after = running_state(items, initial, advance, item)
-        return F.concat(F.array(initial.cast(item)), F.slice(after, F.lit(1), F.greatest(F.size(after) - 1, F.lit(0))))
-
-    blocks = (summary.groupBy("file_id", "blk")
-              .agg(F.sort_array(F.collect_list(F.struct("part", "n", "exits", "env"))).alias("items")))
-    composed = blocks.select(
-        "file_id", "blk",
-        F.aggregate("items", F.lit(0).cast("bigint"), lambda a, p: a + p["n"]).alias("n"),
-        F.aggregate("items", int_table(range(n_states)),
-                    lambda v, p: F.transform(v, lambda s: F.element_at(p["exits"], s + 1))).alias("exits"),
-        F.aggregate("items", _envelope(), lambda a, p: _join_envelopes(a, p["env"])).alias("env"))
-    files = (composed.groupBy("file_id")
-             .agg(F.sort_array(F.collect_list(F.struct("blk", "n", "exits", "env"))).alias("items")))
-    block_entry = (files.withColumn("entry", entries(F.col("items"), start()))
-                   .select("file_id", F.inline(F.arrays_zip(F.col("items.blk").alias("blk"), F.col("entry"))))
-                   .select("file_id", "blk", "entry"))
-    return (blocks.join(block_entry, ["file_id", "blk"])
-            .withColumn("entry", entries(F.col("items"), F.col("entry")))
-            .select("file_id", F.inline(F.arrays_zip(F.col("items.part").alias("part"), F.col("entry"))))
-            .select("file_id", "part", "entry.base", "entry.state", "entry.env"))
+    start = F.struct(F.lit(0).cast("bigint").alias("base"), F.lit(0).alias("state"), _envelope().alias("env"))
+    return exclusive_scan(summary, ["file_id"], "part", "summary", compose, start, f"struct<base:bigint,state:int,env:{ENVELOPE}>",
+                          advance).select("file_id", "part", "entry.base", "entry.state", "entry.env")
 
 
 def _only_short(parts: DataFrame) -> DataFrame:
@@ -195,11 +173,11 @@ def assign_loops(parts: DataFrame, spec: Spec, long_documents: bool = True) -> D
         # the last loop that an earlier part opened at that depth.
         multi = multi.select(*keep, walk, envs)
         last = F.try_element_at("walk", F.lit(-1))
-        exits = multi.select("file_id", "part", last["path"].alias("exit"))
-        earlier = Window.partitionBy("file_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        opened = exits.select("file_id", "part", F.array(*[
-            F.last(F.when(F.get("exit", F.lit(k)) >= 0, F.get("exit", F.lit(k))), ignorenulls=True).over(earlier)
-            for k in range(spec.max_depth)]).alias("before"))
+        exits = multi.select("file_id", "part", F.array(*[
+            F.when(F.get(last["path"], F.lit(k)) >= 0, F.get(last["path"], F.lit(k))) for k in range(spec.max_depth)]).alias("opened"))
+        opened = exclusive_scan(exits, ["file_id"], "part", "opened", lambda a, b: F.transform(
+            F.arrays_zip(a.alias("a"), b.alias("b")), lambda x: F.coalesce(x["b"], x["a"])),
+            F.array_repeat(F.lit(None).cast("bigint"), spec.max_depth), "array<bigint>").withColumnRenamed("entry", "before")
         real = F.transform("walk", lambda w: w.withField("path", F.transform(
             w["path"], lambda x: F.when(x < 0, F.element_at("before", (-x).cast("int"))).otherwise(x))))
         multi = multi.join(opened, ["file_id", "part"]).select(*keep, real.alias("walk"), "envs")
@@ -284,8 +262,7 @@ def rank_in_file(rows: DataFrame, keys: list[str], order: str, name: str) -> Dat
     single = ranked.where(~F.col("multi"))
     multi = ranked.where("multi")
     counts = rows.where("multi").groupBy("file_id", "part", *keys).agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy("file_id", *keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("file_id", "part", *keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    before = exclusive_scan(counts, ["file_id", *keys], "part", "_n", lambda a, b: a + b, F.lit(0).cast("bigint"), "bigint").withColumnRenamed("entry", "_before")
     multi = multi.join(before, ["file_id", "part", *keys]).withColumn(name, (F.col(name) + F.col("_before")).cast("int"))
     return single.unionByName(multi.select(*single.columns))
 

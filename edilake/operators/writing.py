@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import lookup
+from ..functions.scan import exclusive_scan
 from ..specs.model import Spec, spec_tables
 from .framing import split_trimmed
 from .loops import kept
@@ -165,7 +166,7 @@ def _closed_before(loops: DataFrame) -> DataFrame:
     rows = loops.withColumn("previous", F.lag("depth").over(inside))
     single, multi = rows.where(~F.col("multi")), rows.where("multi")
     last = loops.where("multi").groupBy("file_id", "part").agg(F.max_by("depth", "loop_inst").alias("last"))
-    carried = last.select("file_id", "part", F.lag("last").over(Window.partitionBy("file_id").orderBy("part")).alias("carried"))
+    carried = exclusive_scan(last, ["file_id"], "part", "last", lambda a, b: b, F.lit(None).cast("int"), "int").withColumnRenamed("entry", "carried")
     multi = (multi.join(carried, ["file_id", "part"]).withColumn("previous", F.coalesce("previous", "carried"))
              .select(*single.columns))
     return single.unionByName(multi).withColumn(

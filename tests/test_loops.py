@@ -5,6 +5,7 @@ import pytest
 import samples
 from pyspark.sql import functions as F
 
+from edilake.functions import scan
 from edilake.operators import framing, loops
 from edilake.plans.automaton import Automaton
 from edilake.specs.catalog import all_specs, claim_acknowledgement, eligibility_response
@@ -141,7 +142,7 @@ def test_documents_in_many_parts_give_the_same_loops(spark, monkeypatch, slice_s
     whole = samples.rows(samples.locate(spark, docs), *columns)
     envelopes = samples.rows(loops.number_envelopes(samples.parts(spark, docs)), "file_id", "pos", "isa_no", "gs_no", "st_no", "elements")
     monkeypatch.setattr(framing, "SLICE_SEGMENTS", slice_segments)
-    monkeypatch.setattr(loops, "FANOUT", fanout)
+    monkeypatch.setattr(scan, "FANOUT", fanout)
     assert framing.cut_segments(framing.frame(samples.raw(spark, docs), samples.SPEC.spec_id)).groupBy("file_id").count().agg(
         F.min("count")).first()[0] > 3
     located = samples.locate(spark, docs, long_documents=True).cache()
@@ -172,3 +173,27 @@ def test_claim_acknowledgement(spark):
     got = [n for _, n, _ in nodes(samples.locate(spark, {"a": doc}, claim_acknowledgement()))]
     assert got[4:18] == ["2000A", "2100A", "2200A", "2000B", "2100B", "2200B", "2200B", "2000C", "2100C", "2200C", "2000D", "2100D",
                          "2200D", "2200D"]
+
+
+@pytest.mark.parametrize("fanout", [2, 5, 1024])
+def test_scan_in_levels(spark, fanout):
+    """Up to eleven levels: sums, the last value that is there, and text, whose joining does not commute; one group holds
+    most items, and its order is a struct."""
+    rows = [("hot", (i // 50, i), i, f"{i}," if i % 3 else None) for i in range(1500)] + [(f"g{i % 40}", (0, i), i, str(i)) for i in range(90)]
+    items = spark.createDataFrame(rows, "k string, at struct<a:int,b:int>, n long, t string").repartition(7)
+
+    def expected(step, start):
+        out, state = {}, {}
+        for k, at, n, t in sorted(rows, key=lambda r: (r[0], r[1])):
+            out[k, at] = state.get(k, start)
+            state[k] = step(out[k, at], n, t)
+        return out
+
+    def scanned(value, compose, start, kind):
+        got = scan.exclusive_scan(items.withColumn("v", F.expr(value)), ["k"], "at", "v", compose, start, kind, fanout=fanout)
+        return {(r.k, tuple(r.at)): r.entry for r in got.collect()}
+
+    assert scanned("n", lambda a, b: a + b, F.lit(0).cast("bigint"), "bigint") == expected(lambda s, n, t: s + n, 0)
+    assert scanned("t", lambda a, b: F.coalesce(b, a), F.lit(None).cast("string"), "string") == expected(lambda s, n, t: t or s, None)
+    assert scanned("coalesce(t, '')", lambda a, b: F.concat(a, b), F.lit(""), "string") == expected(lambda s, n, t: s + (t or ""), "")
+    assert scan.exclusive_scan(items.where("n < 0"), ["k"], "at", "n", lambda a, b: a + b, F.lit(0).cast("bigint"), "bigint").count() == 0

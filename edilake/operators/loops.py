@@ -50,9 +50,14 @@ def _st(env: Column) -> Column:
     return env["st"]
 
 
-def _marks() -> Column:
-    """1 for each ISA, 2 for each GS, 3 for each ST, else 0: all that the envelope counters need of a segment."""
-    return F.transform("elems", lambda e: F.when(e[0] == "ISA", 1).when(e[0] == "GS", 2).when(e[0] == "ST", 3).otherwise(0))
+def _mark(elements: Column) -> Column:
+    """1 for an ISA, 2 for a GS, 3 for an ST, else 0: all that the envelope counters need of a segment."""
+    return F.when(elements[0] == "ISA", 1).when(elements[0] == "GS", 2).when(elements[0] == "ST", 3).otherwise(0)
+
+
+def _marked() -> Column:
+    """(mark, place) of the segments that change an envelope counter: a handful of each part."""
+    return F.filter(F.transform("elems", lambda e, i: F.struct(_mark(e).alias("mark"), i.alias("at"))), lambda x: x["mark"] > 0)
 
 
 def _count_envelope(env: Column, mark: Column) -> Column:
@@ -76,10 +81,10 @@ def _join_envelopes(before: Column, after: Column) -> Column:
 
 def _entry_states(parts: DataFrame, n_states: int, automaton: Automaton | None) -> DataFrame:
     """(file_id, part) -> base (segments before it), state, env (envelope counters) at the start of the part."""
-    env = F.aggregate("marks", _envelope(), _count_envelope)
+    env = F.aggregate("marked", _envelope(), lambda s, x: _count_envelope(s, x["mark"]))
     exits = exit_states(automaton)("sigs") if automaton else int_table(range(n_states))
     summary = parts.select("file_id", "part", F.struct(
-        F.size("marks").cast("bigint").alias("n"), exits.alias("exits"), env.alias("env")).alias("summary"))
+        F.col("size").alias("n"), exits.alias("exits"), env.alias("env")).alias("summary"))
 
     def compose(a: Column, b: Column) -> Column:
         return F.struct((a["n"] + b["n"]).alias("n"),
@@ -126,19 +131,24 @@ def _with_entry(parts: DataFrame, n_states: int, automaton: Automaton | None) ->
 def number_envelopes(parts: DataFrame, long_documents: bool = True) -> DataFrame:
     """E1 + E2: segments with ``pos`` (dense in the file), ``isa_no``, ``gs_no`` and ``st_no``; numbers start at 1
     and are 0 before the first such segment of the parent."""
-    parts = parts.withColumns({"sigs": F.array().cast("array<int>"), "marks": _marks()})
+    parts = parts.withColumns({"marked": _marked(), "size": F.size("elems").cast("bigint")})
     if long_documents:
         single, multi = _with_entry(parts, 1, None)
         both = single.unionByName(multi)
     else:
         both = _nothing_before(_only_short(parts))
-    env = running_state(F.col("marks"), F.col("env"), _count_envelope, ENVELOPE)
-    rows = both.withColumn("envs", env).select(
-        "file_id", "spec_id", "part", "multi", "sep", "base", F.posexplode(F.arrays_zip("elems", "envs")).alias("i", "x"))
+    # the counters change at the marked segments only; between them lies a stretch of equal counters
+    counted = running_state(F.col("marked"), F.col("env"), lambda s, x: _count_envelope(s, x["mark"]), ENVELOPE)
+    starts = F.concat(F.array(F.lit(0)), F.col("marked.at"))
+    stretches = F.arrays_zip(starts.alias("at"), F.concat(F.array(F.col("env")), counted).alias("env"),
+                             F.concat(F.col("marked.at"), F.array(F.col("size").cast("int"))).alias("end"))
+    rows = both.select("file_id", "spec_id", "part", "multi", "sep", "base", "elems", F.inline(stretches)).where(F.col("end") > F.col("at"))
+    rows = rows.select("file_id", "spec_id", "part", "multi", "sep", (F.col("base") + F.col("at")).alias("base"), "env",
+                       F.posexplode(F.slice("elems", F.col("at") + 1, F.col("end") - F.col("at"))).alias("i", "elements"))
     return rows.select(
         "file_id", "spec_id", "part", "multi", "sep", (F.col("base") + F.col("i")).alias("pos"),
-        _isa(F.col("x.envs")).alias("isa_no"), _gs(F.col("x.envs")).alias("gs_no"), _st(F.col("x.envs")).alias("st_no"),
-        F.get("x.elems", F.lit(0)).alias("seg_id"), F.col("x.elems").alias("elements"))
+        F.col("env.isa").alias("isa_no"), F.col("env.gs").alias("gs_no"), F.col("env.st").alias("st_no"),
+        F.get("elements", F.lit(0)).alias("seg_id"), "elements")
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -162,16 +172,17 @@ def assign_loops(parts: DataFrame, spec: Spec, long_documents: bool = True) -> D
     the plan smaller.
     """
     a = automaton_for(spec)
-    parts = parts.where(F.col("spec_id") == spec.spec_id).withColumns(
-        {"sigs": F.transform("elems", a.signature), "marks": _marks()})
+    # rule and mark in one number: the segments of a part go through Spark's functions once
+    parts = parts.where(F.col("spec_id") == spec.spec_id).withColumn(
+        "sigs", F.transform("elems", lambda e: a.signature(e) * 4 + _mark(e))).withColumn("size", F.size("elems").cast("bigint"))
     keep = ["file_id", "spec_id", "part", "multi", "sep", "base", "elems"]
-    walk = walk_parts(a)("sigs", "base", "state").alias("walk")
-    envs = running_state(F.col("marks"), F.col("env"), _count_envelope, ENVELOPE).alias("envs")
+    walk = walk_parts(a)("sigs", "base", "state", "env.isa", "env.gs", "env.st").alias("walk")
     if long_documents:
-        single, multi = _with_entry(parts, a.n_states, a)
+        single, multi = _with_entry(parts.withColumn("marked", F.filter(F.transform(
+            "sigs", lambda x, i: F.struct((x % 4).alias("mark"), i.alias("at"))), lambda x: x["mark"] > 0)), a.n_states, a)
         # Loops open before this part are called -1, -2, ... by depth until their real numbers are joined in:
         # the last loop that an earlier part opened at that depth.
-        multi = multi.select(*keep, walk, envs)
+        multi = multi.select(*keep, walk)
         last = F.try_element_at("walk", F.lit(-1))
         exits = multi.select("file_id", "part", F.array(*[
             F.when(F.get(last["path"], F.lit(k)) >= 0, F.get(last["path"], F.lit(k))) for k in range(spec.max_depth)]).alias("opened"))
@@ -180,13 +191,13 @@ def assign_loops(parts: DataFrame, spec: Spec, long_documents: bool = True) -> D
             F.array_repeat(F.lit(None).cast("bigint"), spec.max_depth), "array<bigint>").withColumnRenamed("entry", "before")
         real = F.transform("walk", lambda w: w.withField("path", F.transform(
             w["path"], lambda x: F.when(x < 0, F.element_at("before", (-x).cast("int"))).otherwise(x))))
-        multi = multi.join(opened, ["file_id", "part"]).select(*keep, real.alias("walk"), "envs")
-        both = single.select(*keep, walk, envs).unionByName(multi)
+        multi = multi.join(opened, ["file_id", "part"]).select(*keep, real.alias("walk"))
+        both = single.select(*keep, walk).unionByName(multi)
     else:
-        both = _nothing_before(_only_short(parts)).select(*keep, walk, envs)
+        both = _nothing_before(_only_short(parts)).select(*keep, walk)
     rows = both.select(*[c for c in keep if c != "elems"],
-                       F.posexplode(F.arrays_zip("elems", "walk", "envs")).alias("i", "x"))
-    move, env = F.col("x.walk.move"), F.col("x.envs")
+                       F.posexplode(F.arrays_zip("elems", "walk")).alias("i", "x"))
+    move, env = F.col("x.walk.move"), F.col("x.walk")
     state = move_state(move)
     nodes = [None] + ["/".join(p) for p in a.paths] + a.order + [None]
     rows = rows.select(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .automaton import START, Automaton
 
-WALK_TYPE = "array<struct<move:int,path:array<bigint>>>"
+WALK_TYPE = "array<struct<move:int,path:array<bigint>,isa:bigint,gs:bigint,st:bigint>>"
 
 
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -22,17 +22,37 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values, offsets - offsets[0]
 
 
+def _counters(mark: np.ndarray, part: np.ndarray, first: np.ndarray, entry: list[np.ndarray]) -> list[np.ndarray]:
+    """E1/E2 of every segment: an ISA starts a new interchange and resets the groups; a GS starts a group and resets the
+    sets. ``first`` is the place where each segment's part begins, ``entry`` the counters there."""
+    n = len(mark)
+    at = np.arange(n)
+    out, reset = [], first - 1
+    for kind, before in zip((1, 2, 3), entry, strict=True):
+        seen = np.concatenate((np.zeros(1, np.int64), np.cumsum(mark == kind)))
+        inside = reset >= first
+        # since the last reset, or since the part began plus what was there
+        out.append(seen[1:] - seen[np.maximum(reset, first - 1) + 1] + np.where(inside, 0, before[part]))
+        last = np.maximum.accumulate(np.where(mark == kind, at, -1)) if n else at
+        reset = np.maximum(reset, np.where(last >= first, last, first - 1))
+    return out
+
+
 def walk_parts(automaton: Automaton):
-    """UDF (rule numbers, position of the first segment, state on entry) -> move and open loops per segment."""
+    """UDF (rule and mark numbers, position of the first segment, state and envelope counters on entry) -> move, open loops
+    and counters per segment."""
     table = automaton.moves
     n_sigs = automaton.n_sigs
     depth_of = np.array([max(d, 1) if automaton.state_loop[s] else 0 for s, d in enumerate(automaton.state_depth)])
     max_depth = automaton.spec.max_depth
 
     @F.arrow_udf(WALK_TYPE)
-    def walk(sigs: pa.Array, base: pa.Array, state: pa.Array) -> pa.Array:
+    def walk(sigs: pa.Array, base: pa.Array, state: pa.Array, isa: pa.Array, gs: pa.Array, st: pa.Array) -> pa.Array:
         values, starts = _flat(sigs)
+        values, mark = values >> 2, values & 3
         sizes = np.diff(starts)
+        part = np.repeat(np.arange(len(sizes)), sizes)
+        counters = _counters(mark, part, np.repeat(starts[:-1], sizes), [c.to_numpy(zero_copy_only=False) for c in (isa, gs, st)])
         entry = state.to_numpy(zero_copy_only=False).astype(np.int64)
         first_pos = base.to_numpy(zero_copy_only=False).astype(np.int64)
         moves: list[int] = []
@@ -68,7 +88,8 @@ def walk_parts(automaton: Automaton):
         is_open = np.arange(max_depth) < depth[:, None]
         path_offsets = np.concatenate(([0], np.cumsum(depth))).astype(np.int32)
         path = pa.ListArray.from_arrays(pa.array(path_offsets), pa.array(paths[is_open]))
-        step = pa.StructArray.from_arrays([pa.array(move.astype(np.int32)), path], names=["move", "path"])
+        step = pa.StructArray.from_arrays([pa.array(move.astype(np.int32)), path, *(pa.array(c) for c in counters)],
+                                          names=["move", "path", "isa", "gs", "st"])
         return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), step)
 
     return walk
@@ -81,14 +102,23 @@ def exit_states(automaton: Automaton):
     @F.arrow_udf("array<int>")
     def exits(sigs: pa.Array) -> pa.Array:
         values, starts = _flat(sigs)
+        values = values >> 2
         out = np.empty((len(starts) - 1, after.shape[0]), dtype=np.int32)
         for i, (begin, end) in enumerate(zip(starts[:-1], starts[1:])):
-            now = np.arange(after.shape[0])
-            for rule in values[begin:end]:
-                if rule:
-                    now = after[now, rule]
-            out[i] = now
+            rules = values[begin:end]
+            out[i] = composed(after, rules[rules > 0])
         offsets = np.arange(0, out.size + 1, after.shape[0], dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
 
     return exits
+
+
+def composed(after: np.ndarray, rules: np.ndarray) -> np.ndarray:
+    """For every state, the state after all rules: tables of neighbouring rules are composed pairwise until one is left."""
+    if not len(rules):
+        return np.arange(after.shape[0])
+    tables = np.ascontiguousarray(after.T[rules])
+    while len(tables) > 1:
+        odd = tables[-1:] if len(tables) % 2 else tables[:0]
+        tables = np.concatenate((np.take_along_axis(tables[1::2], tables[0:len(tables) - len(odd):2], axis=1), odd))
+    return tables[0]

@@ -21,6 +21,9 @@ ISA_LENGTH, ELEMENT_AT, COMPOSITE_AT, SEGMENT_AT = 106, 4, 105, 106
 # Letters, digits and whitespace cannot be delimiters.
 NOT_A_DELIMITER = r"[\p{L}\p{Nd}\s\x1c-\x1f]"
 
+# The first four segments of a document are within its first characters.
+HEAD_CHARS = 4096
+
 BLANKS = " \t\r\n"
 BLANK_RUN = r"[\x00-\x20]*+"
 
@@ -105,9 +108,18 @@ def routes(spark: SparkSession) -> DataFrame:
 
 
 def route_spec(versioned: DataFrame) -> DataFrame:
-    """The spec a document asks for, by interchange version, functional id and version."""
+    """The spec a document asks for, by interchange version, functional id and version, and for some versions by the
+    purpose that the fourth segment (BHT02) states; a document without it, or a later part of a long one, has no such
+    route."""
     table = F.broadcast(routes(versioned.sparkSession))
-    return versioned.join(table, ["icvn", "fic", "version"], "left")
+    # the first four segments are within the first characters
+    fourth = F.get(F.split(F.substring("content", 1, HEAD_CHARS), escaped(F.col("sep.seg"))), F.lit(3))
+    named = F.split(F.btrim(fourth, F.lit(BLANKS)), escaped(F.col("sep.ele")))
+    stated = versioned.withColumn("_purpose", F.when(F.get(named, F.lit(0)) == "BHT", F.get(named, F.lit(2))))
+    same = [stated[c] == table[c] for c in ("icvn", "fic", "version")]
+    fits = table["purpose"].isNull() | (table["purpose"] == stated["_purpose"])
+    joined = stated.join(table, [*same, fits], "left")
+    return joined.select(*[stated[c] for c in versioned.columns], table["route"], table["spec_id"])
 
 
 def check_version(versioned: DataFrame, file_type: str) -> DataFrame:

@@ -14,6 +14,7 @@ task ever sees more of one document than one part, or ``scan.FANOUT`` summaries.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,8 +23,8 @@ from ..functions.arrays import int_table, lookup, running_state
 from ..functions.scan import exclusive_scan
 from ..plans.automaton import (
     BODY, DROPPED, END, FAULT_GRANDPARENT_MISSING, FAULT_NEVER_OPENED, FAULT_PARENT_MISSING, FAULT_UNKNOWN_LOOP,
-    START, Automaton, automaton_for, move_fault, move_role, move_state, move_wrapper)
-from ..plans.walk import exit_states, walk_parts
+    START, Union, automaton_for, move_fault, move_role, move_state, move_wrapper, union_of)
+from ..plans.walk import exit_states, walk_parts, walk_rows
 from ..session import store
 from ..specs.model import Spec
 
@@ -79,10 +80,11 @@ def _join_envelopes(before: Column, after: Column) -> Column:
 # what is open at the start of each part of a long document
 
 
-def _entry_states(parts: DataFrame, n_states: int, automaton: Automaton | None) -> DataFrame:
+def _entry_states(parts: DataFrame, union: Union | None) -> DataFrame:
     """(file_id, part) -> base (segments before it), state, env (envelope counters) at the start of the part."""
     env = F.aggregate("marked", _envelope(), lambda s, x: _count_envelope(s, x["mark"]))
-    exits = exit_states(automaton)("sigs") if automaton else int_table(range(n_states))
+    # states are counted from the first of the document's spec
+    exits = exit_states(union)("sigs", union.start) if union else int_table([0])
     summary = parts.select("file_id", "part", F.struct(
         F.col("size").alias("n"), exits.alias("exits"), env.alias("env")).alias("summary"))
 
@@ -111,17 +113,12 @@ def _nothing_before(parts: DataFrame) -> DataFrame:
         "*", F.lit(0).cast("bigint").alias("base"), F.lit(0).alias("state"), _envelope().alias("env"))
 
 
-def _with_entry(parts: DataFrame, n_states: int, automaton: Automaton | None) -> tuple[DataFrame, DataFrame]:
-    """Split into documents of one part (nothing open before it) and the parts of long ones, both with
-    ``base, state, env`` at their start.
-
-    The parts of long documents are visited several times, so they are written to the shared folder first: the text
-    is parsed once, and the passes for the summaries read the number columns only.
-    """
-    single = _nothing_before(parts.where(~F.col("multi")))
-    multi = store(parts.where("multi"), f"long-documents/{uuid.uuid4().hex}")
-    multi = multi.join(_entry_states(multi, n_states, automaton), ["file_id", "part"])
-    return single, multi.select(*single.columns)
+def _parts_with_entry(multi: DataFrame, union: Union | None = None) -> DataFrame:
+    """The parts of long documents with ``base, state, env`` at their start. They are visited several times, so they are
+    written to the shared folder first: the text is parsed once, and the passes for the summaries read the number columns
+    only."""
+    multi = store(multi, f"long-documents/{uuid.uuid4().hex}")
+    return multi.join(_entry_states(multi, union), ["file_id", "part"])
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -133,8 +130,8 @@ def number_envelopes(parts: DataFrame, long_documents: bool = True) -> DataFrame
     and are 0 before the first such segment of the parent."""
     parts = parts.withColumns({"marked": _marked(), "size": F.size("elems").cast("bigint")})
     if long_documents:
-        single, multi = _with_entry(parts, 1, None)
-        both = single.unionByName(multi)
+        both = _nothing_before(parts.where(~F.col("multi")))
+        both = both.unionByName(_parts_with_entry(parts.where("multi")).select(*both.columns))
     else:
         both = _nothing_before(_only_short(parts))
     # the counters change at the marked segments only; between them lies a stretch of equal counters
@@ -164,68 +161,66 @@ def match_loop_rules(segments: DataFrame, spec: Spec) -> DataFrame:
     return sig.join(F.broadcast(rules), "sig", "left")
 
 
-def assign_loops(parts: DataFrame, spec: Spec, long_documents: bool = True) -> DataFrame:
-    """Every segment with its loop, role, open loops (``path_inst``) and fault.
+def assign_loops(parts: DataFrame, spec: Spec | Sequence[Spec], long_documents: bool = True) -> DataFrame:
+    """Every segment with its loop, role, open loops (``path_inst``) and fault. With several specs, documents
+    of all of them go through one walk, each by the spec of its ``spec_id``; text is parsed once.
 
     ``loop_inst`` is twice the position of the segment that opened the loop, minus one for a wrapper: unique in
     the file and in document order. ``long_documents=False`` says that no document has several parts, which makes
     the plan smaller.
     """
-    a = automaton_for(spec)
-    # rule and mark in one number: the segments of a part go through Spark's functions once
-    parts = parts.where(F.col("spec_id") == spec.spec_id).withColumn(
-        "sigs", F.transform("elems", lambda e: a.signature(e) * 4 + _mark(e))).withColumn("size", F.size("elems").cast("bigint"))
-    keep = ["file_id", "spec_id", "part", "multi", "sep", "base", "elems"]
-    walk = walk_parts(a)("sigs", "base", "state", "env.isa", "env.gs", "env.st").alias("walk")
+    specs = (spec,) if isinstance(spec, Spec) else tuple(spec)
+    a = union_of(specs)
+    parts = parts.where(F.col("spec_id").isin(*[x.spec_id for x in specs]))
+
+    depth = a.max_depth
+
+    def number(elements: Column) -> Column:
+        """Rule and envelope mark of a segment."""
+        return a.signature(elements) * 4 + _mark(elements)
+
+    # a document of one part becomes rows first: its text and its rules never leave compiled code
+    alone = parts.where(~F.col("multi")) if long_documents else _only_short(parts)
+    rows = alone.select("file_id", "spec_id", "part", "multi", "sep", F.lit(0).cast("bigint").alias("base"), F.posexplode("elems").alias("i", "elements"))
+    rows = rows.withColumn("sig", number(F.col("elements"))).withColumn("walk", walk_rows(a)("sig", "i", a.start)).drop("sig")
     if long_documents:
-        single, multi = _with_entry(parts.withColumn("marked", F.filter(F.transform(
-            "sigs", lambda x, i: F.struct((x % 4).alias("mark"), i.alias("at"))), lambda x: x["mark"] > 0)), a.n_states, a)
+        cut = parts.where("multi").withColumns({"sigs": F.transform("elems", number), "size": F.size("elems").cast("bigint")}).withColumn(
+            "marked", F.filter(F.transform("sigs", lambda x, i: F.struct((x % 4).alias("mark"), i.alias("at"))), lambda x: x["mark"] > 0))
+        multi = _parts_with_entry(cut, a)
         # Loops open before this part are called -1, -2, ... by depth until their real numbers are joined in:
         # the last loop that an earlier part opened at that depth.
-        multi = multi.select(*keep, walk)
+        multi = multi.select("file_id", "spec_id", "part", "multi", "sep", "base", "elems",
+                             walk_parts(a)("sigs", "base", F.col("state") + a.start, "env.isa", "env.gs", "env.st").alias("walk"))
         last = F.try_element_at("walk", F.lit(-1))
         exits = multi.select("file_id", "part", F.array(*[
-            F.when(F.get(last["path"], F.lit(k)) >= 0, F.get(last["path"], F.lit(k))) for k in range(spec.max_depth)]).alias("opened"))
+            F.when(F.get(last["path"], F.lit(k)) >= 0, F.get(last["path"], F.lit(k))) for k in range(depth)]).alias("opened"))
         opened = exclusive_scan(exits, ["file_id"], "part", "opened", lambda a, b: F.transform(
             F.arrays_zip(a.alias("a"), b.alias("b")), lambda x: F.coalesce(x["b"], x["a"])),
-            F.array_repeat(F.lit(None).cast("bigint"), spec.max_depth), "array<bigint>").withColumnRenamed("entry", "before")
+            F.array_repeat(F.lit(None).cast("bigint"), depth), "array<bigint>").withColumnRenamed("entry", "before")
         real = F.transform("walk", lambda w: w.withField("path", F.transform(
             w["path"], lambda x: F.when(x < 0, F.element_at("before", (-x).cast("int"))).otherwise(x))))
-        multi = multi.join(opened, ["file_id", "part"]).select(*keep, real.alias("walk"))
-        both = single.select(*keep, walk).unionByName(multi)
-    else:
-        both = _nothing_before(_only_short(parts)).select(*keep, walk)
-    rows = both.select(*[c for c in keep if c != "elems"],
-                       F.posexplode(F.arrays_zip("elems", "walk")).alias("i", "x"))
-    move, env = F.col("x.walk.move"), F.col("x.walk")
+        zipped = multi.join(opened, ["file_id", "part"]).select(
+            "file_id", "spec_id", "part", "multi", "sep", "base", F.posexplode(F.arrays_zip("elems", real.alias("walk"))).alias("i", "x"))
+        rows = rows.unionByName(zipped.select("file_id", "spec_id", "part", "multi", "sep", "base", "i", F.col("x.elems").alias("elements"),
+                                              F.col("x.walk").alias("walk")))
+    move, env = F.col("walk.move"), F.col("walk")
     state = move_state(move)
-    nodes = [None] + ["/".join(p) for p in a.paths] + a.order + [None]
     rows = rows.select(
         "file_id", "spec_id", "part", "multi", "sep",
         _isa(env).alias("isa_no"), _gs(env).alias("gs_no"), _st(env).alias("st_no"),
         (F.col("base") + F.col("i")).alias("pos"),
-        F.get("x.elems", F.lit(0)).alias("seg_id"),
-        F.col("x.elems").alias("elements"),
+        F.get("elements", F.lit(0)).alias("seg_id"),
+        "elements",
         lookup(a.state_loop, state).alias("loop_id"),
-        lookup(nodes, state).alias("node"),
+        lookup(a.nodes, state).alias("node"),
         lookup([ROLE_NAMES[r] for r in sorted(ROLE_NAMES)], move_role(move)).alias("role"),
-        F.col("x.walk.path").alias("path_inst"),
+        F.col("walk.path").alias("path_inst"),
         (move_wrapper(move) == 1).alias("wrapped"),
         move_fault(move).alias("fault"),
     )
     return rows.withColumn("loop_inst", F.try_element_at("path_inst", F.lit(-1)))
 
 
-def assign_all(parts: DataFrame, specs: dict[str, Spec], long_documents: bool = True) -> DataFrame:
-    """``assign_loops`` for a landing zone of several transaction types. Keep such a zone partitioned by
-    ``spec_id``: each branch then reads its own partition only."""
-    out = None
-    for spec in specs.values():
-        rows = assign_loops(parts, spec, long_documents)
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 def kept(located: DataFrame) -> DataFrame:
     """The segments that belong to a loop: without those after a fatal fault or before the first interchange."""
     return located.where((F.col("role") != "dropped") & F.col("loop_id").isNotNull())

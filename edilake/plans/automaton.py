@@ -211,6 +211,53 @@ class Automaton:
         return [self.move(s, g) for s in range(self.n_states) for g in range(self.n_sigs)]
 
 
+class Union:
+    """The automata of several specs side by side: one walk over documents of all of them.
+
+    States are numbered through all specs; a document starts in state 0 of its own spec and stays among its states. Rules
+    keep the numbers they have in their spec, so ``moves`` has one stretch for each spec and ``row`` says where the moves of
+    a state begin.
+    """
+
+    def __init__(self, specs: tuple[Spec, ...]):
+        self.automata = [automaton_for(spec) for spec in specs]
+        self.max_depth = max(spec.max_depth for spec in specs)
+        self.starts: list[int] = []
+        self.moves: list[int] = []
+        self.row: list[int] = []
+        self.state_loop: list[str | None] = []
+        self.state_depth: list[int] = []
+        self.nodes: list[str | None] = []
+        for a in self.automata:
+            start = len(self.row)
+            self.starts.append(start)
+            self.row += [len(self.moves) + state * a.n_sigs for state in range(a.n_states)]
+            self.moves += [move + (start << 16) for move in a.moves]
+            self.state_loop += a.state_loop
+            self.state_depth += a.state_depth
+            self.nodes += [None, *["/".join(p) for p in a.paths], *a.order, None]
+
+    def of_spec(self, values: list[Column | int]) -> Column:
+        """The value for the row's spec; null for other specs."""
+        out = None
+        for a, value in zip(self.automata, values, strict=True):
+            is_own, value = F.col("spec_id") == a.spec.spec_id, value if isinstance(value, Column) else F.lit(value)
+            out = F.when(is_own, value) if out is None else out.when(is_own, value)
+        return out
+
+    def signature(self, elements: Column) -> Column:
+        return self.of_spec([a.signature(elements) for a in self.automata])
+
+    @property
+    def start(self) -> Column:
+        return self.of_spec(list(self.starts))
+
+
 @lru_cache(maxsize=None)
 def automaton_for(spec: Spec) -> Automaton:
     return Automaton(spec)
+
+
+@lru_cache(maxsize=None)
+def union_of(specs: tuple[Spec, ...]) -> Union:
+    return Union(specs)

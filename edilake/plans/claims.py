@@ -16,7 +16,7 @@ from ..operators import build, edits, framing, lookup, loops, reports, validatio
 from ..operators.lookup import Address, Field
 from ..session import shared_dir
 from ..sources import files
-from ..specs.catalog import VERSIONS
+from ..specs.catalog import VERSIONS, acknowledgement
 from ..specs.model import parse_spec_xml, spec_tables
 from ..streaming import landing
 from .lake import SPEC, Lake, lake
@@ -318,6 +318,48 @@ def link_parents(spark, sf_dir):
     return lines.join(claim_numbers(x), ["file_id", "loop_inst"]).select("claim", "n")
 
 
+def acknowledgements(customer: DataFrame, orders: DataFrame) -> DataFrame:
+    """``raw`` acknowledgements: one document per customer with orders, one set response per order."""
+    def part(rows: DataFrame, key: str, place: int, *segments: list) -> DataFrame:
+        items = F.array(*[F.struct(F.lit(place + i).alias("place"), F.array(*[(e if isinstance(e, Column) else F.lit(e)).cast("string") for e in s])
+                                   .alias("elements")) for i, s in enumerate(segments)])
+        return rows.select(F.concat(F.lit("ack-"), F.col(key)).alias("file_id"), (F.col("o_orderkey") if "o_orderkey" in rows.columns else F.lit(0)).cast(
+            "bigint").alias("item"), F.inline(items))
+
+    control = F.lpad(F.col("o_custkey").cast("string"), 9, "0")
+    heads = orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
+    isa = ["ISA", "00", " " * 10, "00", " " * 10, "ZZ", "SENDER".ljust(15), "ZZ", "RECEIVER".ljust(15), "230101", "1200", "U", "00501", control, "0", "P", ":"]
+    first = part(heads, "o_custkey", 0, isa, ["GS", "FA", "S", "R", "20230101", "1200", F.col("o_custkey"), "X", VERSIONS["ANSI837_5010_X231"]],
+                 ["ST", "999", "0001"], ["AK1", "HC", F.col("o_custkey")])
+    each = part(orders, "o_custkey", 10, ["AK2", "837", F.col("o_orderkey")], ["IK5", "A"])
+    last = part(heads, "o_custkey", 20, ["AK9", "A", F.col("n"), F.col("n"), F.col("n")], ["SE", F.col("n") * 2 + 4, "0001"], ["GE", "1", F.col("o_custkey")],
+                ["IEA", "1", control])
+    # heads, then orders by key, then trailers
+    rows = first.unionByName(each).unionByName(last).withColumn("stage", F.floor(F.col("place") / 10))
+    return build.documents_from_segments(rows, ["stage", "item", "place"])
+
+
+@query("mixed_types", sql("""
+SELECT spec_id, loop_id, role, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT 'ANSI837_5010_X222' AS spec_id, unnest(['ISA_LOOP', 'GS_LOOP', 'ST_LOOP', '2010AA', '2000B']) AS loop_id, 'start' AS role, n FROM (SELECT count(*) AS n FROM docs) t
+  UNION ALL SELECT 'ANSI837_5010_X222', '2300', 'start', count(*) FROM orders
+  UNION ALL SELECT 'ANSI837_5010_X222', '2400', 'start', count(*) FROM lineitem
+  UNION ALL SELECT 'ANSI837_5010_X222', unnest(['ISA_LOOP', 'GS_LOOP', 'ST_LOOP']), 'end', n FROM (SELECT count(*) AS n FROM docs) t
+  UNION ALL SELECT 'ANSI837_5010_X231', unnest(['ISA_LOOP', 'GS_LOOP', 'ST_LOOP', 'HEADER']) AS loop_id, 'start' AS role, n FROM (SELECT count(*) AS n FROM docs) t
+  UNION ALL SELECT 'ANSI837_5010_X231', unnest(['ISA_LOOP', 'GS_LOOP', 'ST_LOOP', 'HEADER']), 'end', n FROM (SELECT count(*) AS n FROM docs) t
+  UNION ALL SELECT 'ANSI837_5010_X231', '2000', unnest(['start', 'body']), n FROM (SELECT count(*) AS n FROM orders) t) u GROUP BY 1, 2, 3"""))
+def mixed_types(spark, sf_dir):
+    # a landing zone of two types: every text is framed, routed and walked once
+    x = lake(spark, sf_dir)
+    zone = x.raw.unionByName(acknowledgements(x.table("customer"), x.table("orders")).select(x.raw.columns))
+    parts = framing.cut_elements(framing.cut_segments(framing.frame(zone)))
+    rows = loops.assign_loops(parts, [SPEC, acknowledgement()]).where(
+        F.col("loop_id").isin("ISA_LOOP", "GS_LOOP", "ST_LOOP", "2010AA", "2000B", "2300", "2400", "2000", "HEADER") & (F.col("role") != "body")
+        | (F.col("loop_id") == "2000"))
+    rows = rows.where((F.col("loop_id") != "HEADER") | (F.col("spec_id") != SPEC.spec_id))
+    return rows.groupBy("spec_id", "loop_id", "role").agg(F.count("*").alias("n"))
+
+
 @query("insert_wrappers", sql("SELECT file_id, 'DETAIL' AS loop_id, 'ST_LOOP' AS parent_id, CAST(1 AS BIGINT) AS n FROM docs"))
 def insert_wrappers(spark, sf_dir):
     return loops.insert_wrappers(lake(spark, sf_dir).assign()).groupBy("file_id", "loop_id", "parent_id").agg(F.count("*").alias("n"))

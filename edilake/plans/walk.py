@@ -1,18 +1,21 @@
-"""The state walk over the rule numbers of each part, as Arrow UDFs on whole batches of parts.
+"""The state walk over the rule numbers of segments, as Arrow UDFs.
 
-Input and output stay flat Arrow buffers. One plain loop finds the moves (a table lookup per segment); the open
-loops of all segments of the batch then follow from the moves with a running maximum per depth.
+Only numbers pass through Arrow. One plain loop finds the moves (a table lookup per segment); the open loops and envelope
+counters of all segments of a batch then follow from the moves with running maxima and sums. ``walk_rows`` takes the
+segments as rows and carries its state from batch to batch; ``walk_parts`` takes the parts of long documents as arrays.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .automaton import START, Automaton
+from .automaton import START, Union
 
-WALK_TYPE = "array<struct<move:int,path:array<bigint>,isa:bigint,gs:bigint,st:bigint>>"
+STEP_TYPE = "struct<move:int,path:array<bigint>,isa:bigint,gs:bigint,st:bigint>"
 
 
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -38,44 +41,45 @@ def _counters(mark: np.ndarray, part: np.ndarray, first: np.ndarray, entry: list
     return out
 
 
-def walk_parts(automaton: Automaton):
-    """UDF (rule and mark numbers, position of the first segment, state and envelope counters on entry) -> move, open loops
-    and counters per segment."""
-    table = automaton.moves
-    n_sigs = automaton.n_sigs
-    depth_of = np.array([max(d, 1) if automaton.state_loop[s] else 0 for s, d in enumerate(automaton.state_depth)])
-    max_depth = automaton.spec.max_depth
+class _Walk:
+    """Steps over stretches of segments: moves, open loops and counters."""
 
-    @F.arrow_udf(WALK_TYPE)
-    def walk(sigs: pa.Array, base: pa.Array, state: pa.Array, isa: pa.Array, gs: pa.Array, st: pa.Array) -> pa.Array:
-        values, starts = _flat(sigs)
-        values, mark = values >> 2, values & 3
+    def __init__(self, union: Union):
+        self.table, self.row = union.moves, union.row
+        self.depth_of = np.array([max(d, 1) if union.state_loop[s] else 0 for s, d in enumerate(union.state_depth)])
+        self.max_depth = union.max_depth
+
+    def steps(self, sigs: np.ndarray, starts: np.ndarray, pos: np.ndarray, entry: list[int], counters: list[np.ndarray],
+              opened: np.ndarray | None = None) -> pa.StructArray:
+        """The step of every segment. ``starts`` says where each stretch begins (one more entry at the end); ``entry`` and
+        ``counters`` are the states and counters before it; ``opened`` the loops that are open before the first one, by
+        depth. Other loops opened before a stretch are called -1, -2, ... by depth."""
+        values, mark = sigs >> 2, sigs & 3
         sizes = np.diff(starts)
         part = np.repeat(np.arange(len(sizes)), sizes)
-        counters = _counters(mark, part, np.repeat(starts[:-1], sizes), [c.to_numpy(zero_copy_only=False) for c in (isa, gs, st)])
-        entry = state.to_numpy(zero_copy_only=False).astype(np.int64)
-        first_pos = base.to_numpy(zero_copy_only=False).astype(np.int64)
+        counted = _counters(mark, part, np.repeat(starts[:-1], sizes), counters)
+        table, row, rules = self.table, self.row, values.tolist()
         moves: list[int] = []
-        rules = values.tolist()
-        for begin, end, now in zip(starts[:-1].tolist(), starts[1:].tolist(), entry.tolist()):
+        for begin, end, now in zip(starts[:-1].tolist(), starts[1:].tolist(), entry):
             for rule in rules[begin:end]:
-                move = table[now * n_sigs + rule]
+                move = table[row[now] + rule]
                 now = move >> 16
                 moves.append(move)
         move = np.array(moves, dtype=np.int64)
-        pos = np.arange(len(move)) - np.repeat(starts[:-1], sizes) + np.repeat(first_pos, sizes)
 
-        # one extra place before each part stands for what is open on entry
+        # one extra place before each stretch stands for what is open on entry
         n, parts = len(move), len(sizes)
-        place = np.arange(n) + np.repeat(np.arange(1, parts + 1), sizes)
+        place = np.arange(n) + part + 1
         entry_place = starts[:-1] + np.arange(parts)
-        depth = depth_of[move >> 16]
+        depth = self.depth_of[move >> 16]
         top = (move >> 8 & 255) + 1
         opens = (move & 3) == START
         wraps = opens & ((move >> 7 & 1) == 1)
-        paths = np.zeros((n, max_depth), dtype=np.int64)
-        for k in range(1, max_depth + 1):
+        paths = np.zeros((n, self.max_depth), dtype=np.int64)
+        for k in range(1, self.max_depth + 1):
             number = np.full(n + parts, -k, dtype=np.int64)
+            if opened is not None:
+                number[0] = opened[k - 1]
             here = opens & (top == k)
             below = wraps & (top == k - 1)
             number[place[here]] = 2 * pos[here] - wraps[here]
@@ -85,30 +89,74 @@ def walk_parts(automaton: Automaton):
             changed = place[here | below]
             seen[changed] = changed
             paths[:, k - 1] = number[np.maximum.accumulate(seen)[place]]
-        is_open = np.arange(max_depth) < depth[:, None]
+        is_open = np.arange(self.max_depth) < depth[:, None]
         path_offsets = np.concatenate(([0], np.cumsum(depth))).astype(np.int32)
         path = pa.ListArray.from_arrays(pa.array(path_offsets), pa.array(paths[is_open]))
-        step = pa.StructArray.from_arrays([pa.array(move.astype(np.int32)), path, *(pa.array(c) for c in counters)],
+        self.after = (int(move[-1]) >> 16, [c[-1:] for c in counted], paths[-1]) if n else None
+        return pa.StructArray.from_arrays([pa.array(move.astype(np.int32)), path, *(pa.array(c) for c in counted)],
                                           names=["move", "path", "isa", "gs", "st"])
-        return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), step)
 
-    return walk
 
+def walk_parts(union: Union):
+    """UDF (rule and mark numbers, position of the first segment, state and envelope counters on entry) -> move, open loops
+    and counters per segment."""
+    walk = _Walk(union)
 
-def exit_states(automaton: Automaton):
-    """UDF (rule numbers of a part) -> for every state before the part, the state after it."""
-    after = np.array(automaton.moves).reshape(automaton.n_states, automaton.n_sigs) >> 16
+    @F.arrow_udf(f"array<{STEP_TYPE}>")
+    def steps(sigs: pa.Array, base: pa.Array, state: pa.Array, isa: pa.Array, gs: pa.Array, st: pa.Array) -> pa.Array:
+        values, starts = _flat(sigs)
+        sizes = np.diff(starts)
+        pos = np.arange(len(values)) + np.repeat(base.to_numpy(zero_copy_only=False).astype(np.int64) - starts[:-1], sizes)
+        out = walk.steps(values, starts, pos, state.to_pylist(), [c.to_numpy(zero_copy_only=False) for c in (isa, gs, st)])
+        return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), out)
+
+    return steps
+
+
+def walk_rows(union: Union):
+    """UDF (rule and mark number, place in the document, state at its start) over the rows of whole documents, in order -> move, open loops and
+    counters. A document may go through several batches. It must see every row of its partition, so it is declared
+    nondeterministic: no filter moves below it."""
+    walk = _Walk(union)
+
+    @F.arrow_udf(STEP_TYPE)
+    def steps(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        carried = None
+        for sigs, places, states in batches:
+            values, pos = sigs.to_numpy(zero_copy_only=False), places.to_numpy(zero_copy_only=False).astype(np.int64)
+            first = pos == 0
+            goes_on = len(pos) > 0 and not first[0]
+            starts = np.flatnonzero(first)
+            if goes_on:
+                starts = np.concatenate(([0], starts))
+            starts = np.append(starts, len(pos)).astype(np.int64)
+            entry = states.take(pa.array(starts[:-1])).to_pylist()
+            counters, opened = [np.zeros(len(starts) - 1, np.int64) for _ in range(3)], None
+            if goes_on:
+                entry[0], opened = carried[0], carried[2]
+                for c, before in zip(counters, carried[1], strict=True):
+                    c[0] = before[0]
+            yield walk.steps(values.astype(np.int64), starts, pos, entry, counters, opened)
+            carried = walk.after or carried
+
+    return steps.asNondeterministic()
+
+
+def exit_states(union: Union):
+    """UDF (rule numbers of a part, the first state of its spec) -> for every state of the spec before the part, the state
+    after it, both counted from the first."""
+    tables = {start: (np.array(a.moves).reshape(a.n_states, a.n_sigs) >> 16) for start, a in zip(union.starts, union.automata, strict=True)}
 
     @F.arrow_udf("array<int>")
-    def exits(sigs: pa.Array) -> pa.Array:
+    def exits(sigs: pa.Array, first: pa.Array) -> pa.Array:
         values, starts = _flat(sigs)
         values = values >> 2
-        out = np.empty((len(starts) - 1, after.shape[0]), dtype=np.int32)
-        for i, (begin, end) in enumerate(zip(starts[:-1], starts[1:])):
+        out = []
+        for begin, end, state in zip(starts[:-1], starts[1:], first.to_pylist()):
             rules = values[begin:end]
-            out[i] = composed(after, rules[rules > 0])
-        offsets = np.arange(0, out.size + 1, after.shape[0], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+            out.append(composed(tables[state], rules[rules > 0]).astype(np.int32))
+        offsets = np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out) if out else np.zeros(0, np.int32)))
 
     return exits
 

@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # a row on its way to the state walk is a whole part of a document, so batches are counted in parts
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 

@@ -25,35 +25,47 @@ VERSIONS = {
     "ANSI277_5010_X212": "005010X212",
 }
 
-# Interchange version (ISA12), functional id (GS01), version (GS08), short name of the map, and the
-# file type that reads it ("-" if none does).
+# Interchange version (ISA12), functional id (GS01), version (GS08), purpose (BHT02, "-" for any), short name
+# of the map, and the file type that reads it ("-" if none does).
 ROUTES = """
-00400 PS 004010 830 -
-00401 HN 004010X070 277U -
-00401 HR 004010X093A1 276 -
-00401 HN 004010X093A1 277 -
-00401 HS 004010X092A1 270 ANSI270_4010_X092
-00401 HB 004010X092A1 271 ANSI271_4010_X092
-00401 HI 004010X094A1 278 -
-00401 RA 004010X061A1 820 -
-00401 BE 004010X095A1 834 -
-00401 HP 004010X091A1 835 ANSI835_4010_X091
-00401 HC 004010X096A1 837I ANSI837_4010_X096
-00401 HC 004010X097A1 837D ANSI837_4010_X097
-00401 HC 004010X098A1 837P ANSI837_4010_X098
-00401 SP 004010XXXC 841 -
-00401 FA 004010 997 -
-00501 RA 005010X218 820 -
-00501 BE 005010X220A1 834 ANSI834_5010_X220
-00501 HP 005010X221A1 835W1 ANSI835_5010_X221
-00501 HC 005010X223A2 837Q3 ANSI837_5010_X223
-00501 FA 005010X231A1 999 ANSI837_5010_X231
-00501 HC 005010X222A1 837P ANSI837_5010_X222
-00501 HN 005010X214 277CA ANSI277_5010_X214
-00501 HN 005010X212 277 ANSI277_5010_X212
+00400 PS 004010 - 830 -
+00401 HN 004010X070 - 277U -
+00401 HR 004010X093A1 - 276 -
+00401 HN 004010X093A1 - 277 -
+00401 HS 004010X092A1 - 270 ANSI270_4010_X092
+00401 HB 004010X092A1 - 271 ANSI271_4010_X092
+00401 HI 004010X094A1 11 278a -
+00401 HI 004010X094A1 13 278b -
+00401 RA 004010X061A1 - 820 -
+00401 BE 004010X095A1 - 834 -
+00401 HP 004010X091A1 - 835 ANSI835_4010_X091
+00401 HC 004010X096A1 - 837I ANSI837_4010_X096
+00401 HC 004010X097A1 - 837D ANSI837_4010_X097
+00401 HC 004010X098A1 - 837P ANSI837_4010_X098
+00401 SP 004010XXXC - 841 -
+00401 FA 004010 - 997 -
+00401 FA 004010X070 - 997 -
+00401 FA 004010X093A1 - 997 -
+00401 FA 004010X092A1 - 997 -
+00401 FA 004010X094A1 - 997 -
+00401 FA 004010X061A1 - 997 -
+00401 FA 004010X095A1 - 997 -
+00401 FA 004010X091A1 - 997 -
+00401 FA 004010X096A1 - 997 -
+00401 FA 004010X097A1 - 997 -
+00401 FA 004010X098A1 - 997 -
+00501 RA 005010X218 - 820 -
+00501 BE 005010X220A1 - 834 ANSI834_5010_X220
+00501 HP 005010X221A1 - 835W1 ANSI835_5010_X221
+00501 HC 005010X223A2 - 837Q3 ANSI837_5010_X223
+00501 FA 005010X231A1 - 999 ANSI837_5010_X231
+00501 FA 005010X231 - 999 ANSI837_5010_X231
+00501 HC 005010X222A1 - 837P ANSI837_5010_X222
+00501 HN 005010X214 - 277CA ANSI277_5010_X214
+00501 HN 005010X212 - 277 ANSI277_5010_X212
 """
 
-ROUTE_DDL = "icvn string, fic string, version string, route string, spec_id string"
+ROUTE_DDL = "icvn string, fic string, version string, purpose string, route string, spec_id string"
 
 
 def route_rows() -> list[tuple[str, ...]]:

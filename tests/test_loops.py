@@ -197,3 +197,35 @@ def test_scan_in_levels(spark, fanout):
     assert scanned("t", lambda a, b: F.coalesce(b, a), F.lit(None).cast("string"), "string") == expected(lambda s, n, t: t or s, None)
     assert scanned("coalesce(t, '')", lambda a, b: F.concat(a, b), F.lit(""), "string") == expected(lambda s, n, t: s + (t or ""), "")
     assert scan.exclusive_scan(items.where("n < 0"), ["k"], "at", "n", lambda a, b: a + b, F.lit(0).cast("bigint"), "bigint").count() == 0
+
+
+def test_documents_of_several_types_in_one_walk(spark, monkeypatch):
+    """Each document gets the loops its own spec gives it, in one part or many, in any mix."""
+    claims = {f"c{i}": samples.document(*[samples.claim(j) for j in range(i + 1)]) for i in range(4)}
+    ack = [samples.isa(), samples.gs("005010X214", "HN"), "ST*277*1", "BHT*0085*08*1*20240102*0930", "HL*1**20*1", "NM1*PR*2*PLAN",
+           "TRN*1*5", "HL*2*1*21*1", "NM1*41*2*ACME", "TRN*2*6", "STC*A1:20*20240102", "SE*1*1", "GE*1*1", "IEA*1*1"]
+    acks = {f"a{i}": ack for i in range(3)}
+    columns = ["file_id", "pos", "isa_no", "gs_no", "st_no", "seg_id", "spec_id", "node", "role", "path_inst", "fault", "wrapped"]
+    want = sorted(samples.rows(samples.locate(spark, claims), *columns) + samples.rows(samples.locate(spark, acks, claim_acknowledgement()), *columns))
+    specs = [samples.SPEC, claim_acknowledgement()]
+
+    def mixed(long):
+        framed = framing.frame(samples.raw(spark, {**claims, **acks}).repartition(2))
+        return sorted(samples.rows(loops.assign_loops(framing.cut_elements(framing.cut_segments(framed)), specs, long), *columns))
+
+    assert mixed(False) == want
+    monkeypatch.setattr(framing, "SLICE_SEGMENTS", 3)
+    assert mixed(True) == want
+
+
+def test_rows_through_small_batches(spark):
+    """A document may go through many batches; a filter on the result does not starve the walk."""
+    docs = {str(i): samples.document(*[samples.claim(j, 3) for j in range(1, 4 + i)]) for i in range(3)}
+    columns = ["file_id", "pos", "isa_no", "gs_no", "st_no", "seg_id", "node", "role", "path_inst", "fault"]
+    want = samples.rows(samples.locate(spark, docs), *columns)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        assert samples.rows(samples.locate(spark, docs), *columns) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert samples.rows(samples.locate(spark, docs).where("seg_id = 'CLM'"), *columns) == [r for r in want if r[5] == "CLM"]

@@ -70,22 +70,37 @@ class Address:
 
 def get_element(located: DataFrame, loops: DataFrame, address: Address, within: str = "ISA_LOOP") -> DataFrame:
     """Q5 + Q6: the addressed value of each ``within`` loop; no row if a step of the chain misses."""
-    chosen = nth_loop(loops, address.loop_id, address.loop_no, within).select("file_id", "loop_inst", "root_inst")
-    segments = nth_segment(located, address.loop_id, address.seg_id, address.seg_no)
-    value = F.get("elements", F.lit(address.ele_seq))
-    if address.sub is not None:
-        value = get_sub_element(value, F.col("sep.comp"), address.sub)
-    return segments.join(chosen, ["file_id", "loop_inst"]).select(
-        "file_id", "isa_no", "root_inst", "loop_inst", F.lit(address.name).alias("address"), value.alias("value"))
+    return get_elements(located, loops, [address], within)
 
 
 def get_elements(located: DataFrame, loops: DataFrame, addresses: Sequence[Address], within: str = "ISA_LOOP") -> DataFrame:
-    """Q5 for a list of addresses, one row per address and ``within`` loop."""
-    out = None
-    for address in addresses:
-        rows = get_element(located, loops, address, within)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """Q5 for a list of addresses, one row per address and ``within`` loop.
+
+    The addresses are a table of steps: loops of all ids are ranked once and those that some address goes through are
+    kept; the segments in them are ranked once; then each row yields the values of the addresses that end there. Three
+    shuffles, however many addresses there are.
+    """
+    steps: dict[tuple, list] = {}
+    for x in addresses:
+        steps.setdefault((x.loop_id, x.loop_no + 1, x.seg_id, x.seg_no + 1), []).append((x.name, x.ele_seq, x.sub))
+    spark = located.sparkSession
+    ends = F.broadcast(spark.createDataFrame(
+        [(*k, v) for k, v in steps.items()],
+        "loop_id string, loop_rank int, seg_id string, seg_rank int, picks array<struct<address:string,ele_seq:int,sub:int>>"))
+    through = F.broadcast(spark.createDataFrame(sorted({k[:2] for k in steps}), "loop_id string, loop_rank int"))
+
+    root = _instance_of(within, F.col("path_ids"))
+    below = loops.where(F.col("loop_id").isin(*{k[0] for k in steps})).withColumn("root_inst", root).where("root_inst <> loop_inst")
+    chosen = (rank_in_file(below, ["root_inst", "loop_id"], "loop_inst", "loop_rank").join(through, ["loop_id", "loop_rank"])
+              .select("file_id", "loop_inst", "root_inst", "loop_rank"))
+    wanted = kept(located).where(F.col("loop_id").isin(*{k[0] for k in steps}) & F.col("seg_id").isin(*{k[2] for k in steps}))
+    segments = rank_in_file(wanted, ["loop_inst", "seg_id"], "pos", "seg_rank").where(F.col("seg_rank") <= max(k[3] for k in steps))
+    found = segments.join(chosen, ["file_id", "loop_inst"]).join(ends, ["loop_id", "loop_rank", "seg_id", "seg_rank"])
+    value = F.get("elements", F.col("pick.ele_seq"))
+    parts = F.split(F.rtrim(value, F.col("sep.comp")), F.concat(F.lit("\\"), F.col("sep.comp")))
+    return found.select("file_id", "isa_no", "root_inst", "loop_inst", "elements", "sep", F.explode("picks").alias("pick")).select(
+        "file_id", "isa_no", "root_inst", "loop_inst", F.col("pick.address").alias("address"),
+        F.when(F.col("pick.sub").isNull(), value).otherwise(F.get(parts, F.col("pick.sub"))).alias("value"))
 
 
 def get_sub_element(value: Column, separator: Column, index: int) -> Column:

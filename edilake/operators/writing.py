@@ -175,19 +175,20 @@ def _closed_before(loops: DataFrame) -> DataFrame:
 
 def _nested(located: DataFrame, loops: DataFrame, segment: Column, between: str, head: Column, inner: str, tail: str,
             comma: str) -> DataFrame:
-    """Open each loop at its place, with its own segments, and close the loops that ended before it."""
-    own = (kept(located).select("file_id", "loop_inst", "pos", segment.alias("seg"))
-           .groupBy("file_id", "loop_inst").agg(F.sort_array(F.collect_list(F.struct("pos", "seg"))).alias("segs")))
-    body = F.array_join(F.transform(F.coalesce("segs", F.array().cast("array<struct<pos:bigint,seg:string>>")),
-                                    lambda s: s["seg"]), between)
-    opened = (_closed_before(loops).join(own, ["file_id", "loop_inst"], "left")
-              .select("file_id", "isa_no", "part", "multi", F.col("loop_inst").alias("at"), F.lit(0).alias("kind"), "depth",
-                      F.concat(F.repeat(F.lit(tail), F.col("closed")),
-                               F.when(F.col("closed") > 0, comma).otherwise(""), head, body, F.lit(inner)).alias("text")))
-    ends = loops.groupBy("file_id", "isa_no", "multi").agg(F.max("loop_inst").alias("at"), F.max_by("depth", "loop_inst").alias("depth"))
-    closing = ends.select("file_id", "isa_no", "multi", "at", F.lit(1).alias("kind"), F.repeat(F.lit(tail), F.col("depth")).alias("text"))
-    rows = opened.select(*closing.columns).unionByName(closing)
-    return assemble(rows, ["at", "kind"])
+    """The text of a document as rows in its order: for each loop, what closes the loops that ended before it and opens
+    it; its own segments, one row each; and what follows them. No row holds a loop, however many segments it has."""
+    rank = lambda kind, pos: (F.lit(kind).alias("kind"), pos.cast("bigint").alias("nth"))
+    keep = ["file_id", "isa_no", "multi"]
+    opened = _closed_before(loops).select(
+        *keep, F.col("loop_inst").alias("at"), *rank(0, F.lit(0)),
+        F.concat(F.repeat(F.lit(tail), F.col("closed")), F.when(F.col("closed") > 0, comma).otherwise(""), head).alias("text"))
+    # a loop's first segment is the one that opened it
+    own = kept(located).select(*keep, F.col("loop_inst").alias("at"), *rank(1, F.col("pos")),
+                               F.concat(F.when(F.col("role") == "start", "").otherwise(between), segment).alias("text"))
+    followed = loops.select(*keep, F.col("loop_inst").alias("at"), *rank(2, F.lit(0)), F.lit(inner).alias("text"))
+    ends = loops.groupBy(*keep).agg(F.max("loop_inst").alias("at"), F.max_by("depth", "loop_inst").alias("depth"))
+    closing = ends.select(*keep, "at", *rank(3, F.lit(0)), F.repeat(F.lit(tail), F.col("depth")).alias("text"))
+    return assemble(opened.unionByName(own).unionByName(followed).unionByName(closing), ["at", "kind", "nth"])
 
 
 def nested_json(located: DataFrame, loops: DataFrame) -> DataFrame:

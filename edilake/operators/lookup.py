@@ -229,17 +229,23 @@ def flatten(located: DataFrame, fields: Sequence[Field], spec: Spec, per: str |
 # Q11
 
 
+def plain_elements() -> Column:
+    """The elements with one sign for every document's own component separator, so that documents that differ in their
+    delimiters only are equal."""
+    return F.transform("elements", lambda e: F.replace(e, F.col("sep.comp"), F.lit("\u001d")))
+
+
 def fingerprint_documents(located: DataFrame, skip: Sequence[str] = (), within: str = "ISA_LOOP") -> DataFrame:
     """Q11: a value for each ``within`` loop that is equal for equal content (segment ids and elements, in order).
 
     The digest of a loop is the sum of the digests of its segments, each taken with its place in the loop. Sums
     combine before the shuffle, so no task ever holds the text of one document. ``skip`` names segments, such as
-    control segments, that may differ.
+    control segments, that may differ. Delimiters are ignored.
     """
     rows = kept(located).withColumn("root_inst", _instance_of(within, F.split("node", "/")))
     rows = rows.where(F.col("root_inst").isNotNull() & ~F.col("seg_id").isin(*skip))
     place = F.col("pos") - F.floor(F.col("root_inst") / 2)
-    digest = F.sha2(F.concat_ws("\u001f", place.cast("string"), F.col("node"), F.concat_ws("\u001e", "elements")), 256)
+    digest = F.sha2(F.concat_ws("\u001f", place.cast("string"), F.col("node"), F.concat_ws("\u001e", plain_elements())), 256)
     words = [F.conv(F.substring(digest, 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)") for k in range(4)]
     return rows.groupBy("file_id", "isa_no", "root_inst").agg(
         F.count("*").alias("n_segments"), *[F.sum(w).alias(f"digest_{k}") for k, w in enumerate(words)])
@@ -256,11 +262,14 @@ def dedup_documents(fingerprints: DataFrame) -> DataFrame:
 
 
 def same_document(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Q11: the segments on which two tables of documents differ; empty if they are equal."""
-    columns = ["file_id", "isa_no", "pos", "node", "elements"]
-    both = (kept(left).select(*columns, F.lit(1).alias("side")).unionByName(kept(right).select(*columns, F.lit(-1).alias("side"))))
-    surplus = both.groupBy(*columns).agg(F.sum("side").alias("side")).where("side <> 0")
-    return surplus.select(*columns, F.when(F.col("side") > 0, "left").otherwise("right").alias("only_in"),
+    """Q11: the segments on which two tables of documents differ; empty if they are equal. Delimiters are ignored."""
+    def side(rows: DataFrame, sign: int) -> DataFrame:
+        return kept(rows).select("file_id", "isa_no", "pos", "node", "elements", plain_elements().alias("plain"), F.lit(sign).alias("side"))
+
+    columns = ["file_id", "isa_no", "pos", "node"]
+    both = side(left, 1).unionByName(side(right, -1))
+    surplus = both.groupBy(*columns, "plain").agg(F.sum("side").alias("side"), F.first("elements").alias("elements")).where("side <> 0")
+    return surplus.select(*columns, "elements", F.when(F.col("side") > 0, "left").otherwise("right").alias("only_in"),
                           F.explode(F.sequence(F.lit(1), F.abs("side"))).alias("copy")).drop("copy")
 
 

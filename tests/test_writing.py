@@ -245,3 +245,24 @@ def test_files_of_any_length_and_delimiter(spark, tmp_path, monkeypatch):
             assert segments(files.read_edi(spark, str(folder), "ISO-8859-1", whole_bytes=2000)) == (want, bad)
         finally:
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_documents_that_differ_in_delimiters_only_are_equal(spark):
+    one, two = samples.locate(spark, {"a": samples.text(DOC)}), samples.locate(spark, {"a": samples.text(DOC, "|", "^", ">")})
+    assert lookup.same_document(one, two).isEmpty()
+    prints = lookup.fingerprint_documents(one).unionByName(lookup.fingerprint_documents(two).withColumn("file_id", F.lit("b")))
+    assert [r.copies for r in lookup.dedup_documents(prints).collect()] == [2]
+    changed = edits.set_element(two, F.col("seg_id") == "CLM", 2, F.lit("0"))
+    assert {r.only_in for r in lookup.same_document(one, changed).collect()} == {"left", "right"}
+
+
+def test_many_addresses_at_once(spark):
+    located = samples.locate(spark, {"a": samples.text(DOC), "b": samples.text(DOC, "|", "^", ">")}).cache()
+    loop_rows = loops.link_parents(located)
+    addresses = [Address(f"{k}-{n}-{sub}", "2300", "CLM", k, loop_no=n, sub=sub) for k in (1, 2, 5) for n in (0, 1, 7) for sub in (None, 0, 9)]
+    got = {(r.file_id, r.address): r.value for r in lookup.get_elements(located, loop_rows, addresses).collect()}
+    assert len(got) == 2 * 3 * 2 * 3 and not any("-7-" in a for _, a in got)
+    for x in addresses:
+        alone = {(r.file_id, r.address): r.value for r in lookup.get_element(located, loop_rows, x).collect()}
+        assert alone == {k: v for k, v in got.items() if k[1] == x.name}
+    assert got["a", "5-0-0"] == "11" and got["b", "5-0-None"] == "11>B>1" and got["a", "5-0-9"] is None

@@ -109,21 +109,22 @@ def windows(text: bytes) -> np.ndarray:
     return tokens.LOWER[np.frombuffer(text.ljust(n * WINDOW), np.uint8)].reshape(n, WINDOW)
 
 
-def training_rows(docs: DataFrame, usable, label: str = "lang", per_class: int = 1500, max_classes: int = 64,
+def training_rows(docs: DataFrame, usable, label: str = "lang", per_class: int = 1500, most: int = 96_000,
                   crops: int = 2) -> DataFrame:
-    """A bounded sample of labelled text windows: about ``per_class`` documents of each of the ``max_classes`` most
-    frequent labels, chosen by hash, and ``crops`` windows of each at hashed places of the whole text."""
+    """A bounded sample of labelled text windows: of every label about ``per_class`` documents, or fewer where there are so
+    many labels that all together would be over ``most``, chosen by hash, and ``crops`` windows of each at hashed places of
+    the whole text."""
     rows = docs.where(usable & F.col(label).isNotNull() & (F.length("text") > 0))
-    counts = (rows.groupBy(label).agg(F.count("*").alias("__n")).orderBy(F.desc("__n"), label).limit(max_classes)
-              .collect())
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col(label) == r[label], F.lit(min(1.0, per_class / r["__n"]))).otherwise(share)
+    # as many numbers as the network has outputs
+    counts = rows.groupBy(label).agg(F.count("*").alias("__n")).collect()
+    each = max(1, min(per_class, most // max(1, len(counts))))
+    shares = F.create_map(*[F.lit(x) for r in counts for x in (r[label], min(1.0, each / r["__n"]))]) if counts else None
+    share = F.lit(0.0) if shares is None else F.coalesce(F.element_at(shares, F.col(label)), F.lit(0.0))
     chance = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     crop = F.explode(F.transform(F.sequence(F.lit(1), F.lit(crops)), lambda i: F.substring(
         F.col("text"), (F.pmod(F.hash("text", i), F.greatest(F.length("text") - WINDOW + 1, F.lit(1))) + 1).cast("int"), F.lit(WINDOW))))
     return (rows.where(chance < share).select(F.col(label).alias("label"), crop.alias("window"))
-            .orderBy(F.xxhash64("window"), "label", "window").limit(per_class * max_classes * crops))
+            .orderBy(F.xxhash64("window"), "label", "window").limit(most * crops))
 
 
 def train(sample: list[tuple[str, str]], seed: int = 7) -> ByteCnn | None:

@@ -147,7 +147,7 @@ def merge_buckets(counted: DataFrame, folder: str, buckets: int) -> DataFrame:
             first, second, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
             keys, at, counts = _sum_by(pair_keys(first, second), counts)
             first, second = first[at], second[at]
-            _write(folder, f"pairs{open_}", key=keys, count=counts.astype(np.uint32))
+            _write(folder, f"pairs{open_}", key=keys, count=counts)
             as_int = lambda x: x.astype(np.int64)
             v, _, total, n1, n2, n3 = _sum_by(first, counts, as_int(counts == 1), as_int(counts == 2), as_int(counts > 2))
             w, _, before, occurs = _sum_by(second, np.ones(len(second), np.int64), counts)
@@ -252,7 +252,7 @@ class Model:
         name = f"{kind}{part}"
         if name not in self.files:
             folder = self.numbers["folder"]
-            fields = (("count", np.int64), ("p", np.float32), ("weight", np.float32), ("total", np.int64)) if kind == "words" else (("count", np.uint32),)
+            fields = (("count", np.int64), ("p", np.float32), ("weight", np.float32), ("total", np.int64)) if kind == "words" else (("count", np.int64),)
             self.files[name] = (_read(folder, name, "key", np.uint64), *(_read(folder, name, *f) for f in fields))
         return self.files[name]
 

@@ -188,7 +188,7 @@ def labelled_statistics(stats: DataFrame, labels: DataFrame, label: str = "quali
 def judge(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """doc_id, the base statistics, base_failed, kept, rule (number of the learned rule that fired, 0 for none)."""
     stats = keep(statistics(docs), "statistics")
-    labelled = keep(labelled_statistics(stats, labels).coalesce(8), "labelled")
+    labelled = keep(labelled_statistics(stats, labels).repartition(8), "labelled")
     kept, fired = verdict(learn(labelled, **options))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),

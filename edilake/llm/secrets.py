@@ -101,7 +101,7 @@ def train(labelled: DataFrame, label: str = "label", per_class: int = 10_000, tr
         return None
     chance = F.pmod(F.xxhash64("value_sha256", "start"), F.lit(1_000_000))
     share = F.when(F.col(label) == 1.0, min(1.0, per_class / sizes[1.0])).otherwise(min(1.0, per_class / sizes[0.0])) * 1_000_000
-    rows = known.where(chance < share).select(*FEATURES, F.col(label).alias("label")).coalesce(4).sortWithinPartitions(*FEATURES)
+    rows = known.where(chance < share).select(*FEATURES, F.col(label).alias("label"), "value_sha256").repartition(4, "value_sha256").sortWithinPartitions(*FEATURES)
     assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(assembled)
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import json
 
 import numpy as np
@@ -27,8 +28,8 @@ from edilake.llm.tokens import chunks
 # fixed values: the split pattern of the vocabulary
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # bytes of ids and words, with what Python adds to each, that a worker remembers
-CACHED_BYTES, ENTRY_BYTES = 24_000_000, 170
-GROUP_BYTES = 1_000_000
+CACHED_BYTES, ENTRY_BYTES = 72_000_000, 170
+GROUP_BYTES, WORDS_AT_ONCE = 1_000_000, 1 << 16
 
 
 def printable_bytes() -> list[str]:
@@ -60,6 +61,7 @@ class Bpe:
 
     def forget(self) -> None:
         self.cache: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.cached = 0
 
     def encode_word(self, word: str) -> bytes:
@@ -92,29 +94,27 @@ class Bpe:
                     heapq.heappush(queue, (found[0], h, ids[h], merged, found[1]))
         return np.array([i for i in ids if i >= 0], "<u4").tobytes()
 
-    def remembered(self, word: str) -> bytes:
-        ids = self.cache.get(word)
-        if ids is None:
-            ids = self.encode_word(word)
-            size = 2 * len(word) + len(ids) + ENTRY_BYTES
-            if size < CACHED_BYTES // 100:
-                if self.cached + size > CACHED_BYTES:
-                    self.forget()
-                self.cache[word] = ids
-                self.cached += size
-        return ids
+    def encode_words(self, words: list[str]) -> bytes:
+        for w in set(words).difference(self.cache):
+            ids = self.cache[w] = self.before.get(w) or self.encode_word(w)
+            self.cached += 2 * len(w) + len(ids) + ENTRY_BYTES
+        out = b"".join(map(self.cache.__getitem__, words))
+        if self.cached > CACHED_BYTES // 2:
+            # words that come again within the next half are kept
+            self.before, self.cache, self.cached = self.cache, {}, 0
+        return out
 
     def encode(self, text: str) -> bytes:
         out = []
         for piece in self.split_added.split(text) if self.added else [text]:
             if piece in self.added:
                 out.append(self.added[piece])
-                continue
-            words = self.words.findall(piece)
-            try:
-                out.append(b"".join(map(self.cache.__getitem__, words)))
-            except KeyError:
-                out.append(b"".join(map(self.remembered, words)))
+            elif len(piece) < GROUP_BYTES:
+                out.append(self.encode_words(self.words.findall(piece)))
+            else:
+                found = self.words.finditer(piece)
+                while words := [m.group() for m in itertools.islice(found, WORDS_AT_ONCE)]:
+                    out.append(self.encode_words(words))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:

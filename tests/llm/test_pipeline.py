@@ -49,6 +49,10 @@ def test_groups_and_forgetting(spark, monkeypatch):
     monkeypatch.setattr(bpe, "CACHED_BYTES", 20_000)
     for r in docs.limit(20).collect():
         assert coder.encode(r.text) == want[r.doc_id] and coder.cached <= 20_000
+    monkeypatch.setattr(bpe, "GROUP_BYTES", 500)
+    monkeypatch.setattr(bpe, "WORDS_AT_ONCE", 3)
+    for r in docs.limit(20).collect():
+        assert coder.encode(r.text) == want[r.doc_id]
     both = bpe.round_trip(docs, tokenizer_path())
     assert both.columns == ["doc_id", "text", "lang", "ids", "decoded"]
     assert both.where(F.col("decoded") != F.col("text")).isEmpty() and {r.doc_id: r.ids for r in both.collect()} == want

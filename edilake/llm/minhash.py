@@ -183,7 +183,7 @@ def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     return keep(placed.join(mixed, "bucket"), "open")
 
 
-def blocks(members: DataFrame, chunk: int = CHUNK, made: list[DataFrame] | None = None) -> DataFrame:
+def blocks(members: DataFrame, chunk: int = CHUNK, *, made: list[DataFrame] | None = None) -> DataFrame:
     """``members`` (bucket, key, label) dealt to blocks (bucket, x, y), so that any two of a bucket with different labels meet in
     one. Tables kept on the way are added to ``made``. A bucket of up to ``chunk`` members is a block. Larger ones are cut into chunks, which meet in pairs; a label of
     more members has chunks of its own, which do not meet each other."""

@@ -273,6 +273,44 @@ def same_document(left: DataFrame, right: DataFrame) -> DataFrame:
                           F.explode(F.sequence(F.lit(1), F.abs("side"))).alias("copy")).drop("copy")
 
 
+def loop_digests(located: DataFrame) -> DataFrame:
+    """Q11: one row per loop instance with the digest of all its segments, those of the loops below it included.
+
+    A segment counts into every loop that is open at it, with its place in that loop and the loops between, so equal loops
+    have equal digests wherever they stand. Sums combine before the shuffle: a loop of any size is no hot spot.
+    """
+    at = F.posexplode("path_inst").alias("level", "loop_inst")
+    rows = kept(located).select("file_id", "isa_no", "pos", F.split("node", "/").alias("ids"), "path_inst", plain_elements().alias("plain"), at)
+    place = F.col("pos") - F.floor((F.col("loop_inst") + 1) / 2)
+    below = F.array_join(F.slice("ids", F.col("level") + 2, F.size("ids")), "/")
+    digest = F.sha2(F.concat_ws("\u001f", place.cast("string"), below, F.concat_ws("\u001e", "plain")), 256)
+    words = [F.conv(F.substring(digest, 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)") for k in range(4)]
+    return rows.groupBy("file_id", "isa_no", "loop_inst").agg(
+        F.min(F.get("ids", F.col("level"))).alias("loop_id"), F.min(F.get("path_inst", F.col("level") - 1)).alias("parent_inst"),
+        F.count("*").alias("n_segments"), *[F.sum(w).alias(f"digest_{k}") for k, w in enumerate(words)])
+
+
+def differing_loops(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Q11: the smallest loops in which two tables of documents differ; empty if they are equal. Delimiters are ignored.
+
+    Within an interchange, loops of one id are compared as a multiset of contents, so a loop that is inserted or moved makes
+    no others differ. ``only_in`` has ``copies`` more of a content than the other side; ``loop_inst`` is the last of them. A
+    loop is left out if one below it has a content that the other side lacks altogether.
+    """
+    key = ["file_id", "isa_no", "loop_id", *DIGEST]
+    both = loop_digests(left).withColumn("side", F.lit(1)).unionByName(loop_digests(right).withColumn("side", F.lit(-1)))
+    groups = both.groupBy(*key).agg(
+        F.sum("side").alias("surplus"), F.count("*").alias("n"),
+        F.max(F.when(F.col("side") > 0, F.col("loop_inst"))).alias("left"), F.max(F.when(F.col("side") < 0, F.col("loop_inst"))).alias("right"))
+    groups = groups.where("surplus <> 0").withColumn("side", F.signum("surplus").cast("int"))
+    lacked = groups.where(F.abs("surplus") == F.col("n")).select(*key, "side")
+    parents = both.join(lacked, [*key, "side"]).select("file_id", "isa_no", F.col("parent_inst").alias("loop_inst"), "side").distinct()
+    above = both.join(parents, ["file_id", "isa_no", "loop_inst", "side"], "left_semi").select(*key, "side").distinct()
+    return groups.join(above, [*key, "side"], "left_anti").select(
+        "file_id", "isa_no", "loop_id", F.when(F.col("side") > 0, F.col("left")).otherwise(F.col("right")).alias("loop_inst"),
+        F.when(F.col("side") > 0, "left").otherwise("right").alias("only_in"), F.abs("surplus").alias("copies"))
+
+
 def envelope_counts(located: DataFrame) -> DataFrame:
     """Q12: the counts that trailers claim (SE01 segments, GE01 sets, IEA01 groups) next to the real ones."""
     rows = kept(located).select("file_id", "isa_no", "gs_no", "st_no", "seg_id", F.get("elements", F.lit(1)).alias("v"))

@@ -544,6 +544,31 @@ def dedup_documents(spark, sf_dir):
     return kept.withColumnRenamed("root_inst", "loop_inst").join(claim_numbers(x), ["file_id", "loop_inst"]).select("claim", "copies")
 
 
+@query("differing_loops", sql("""
+SELECT file_id, only_in, loop_id, count(*) AS loops, CAST(sum(n) AS BIGINT) AS copies FROM (
+  SELECT file_id, only_in, '2300' AS loop_id, clm || hi || line_text AS content, 1 AS n
+  FROM claims, (SELECT unnest(['left', 'right']) AS only_in) t WHERE o_orderkey % 10 = 0)
+GROUP BY 1, 2, 3
+UNION ALL SELECT file_id, 'left', '2400', count(*), CAST(sum(n) AS BIGINT) FROM (
+  SELECT file_id, lx || sv1 || dtp AS content, count(CASE WHEN o_orderkey % 10 = 5 AND l_linenumber = 1 THEN 1 END) AS n FROM lines GROUP BY 1, 2) t
+WHERE n > 0 GROUP BY 1
+UNION ALL SELECT file_id, 'right', '2400', count(*), CAST(sum(n) AS BIGINT) FROM (
+  SELECT file_id, lx || dtp AS content, count(*) AS n FROM lines WHERE o_orderkey % 10 = 5 AND l_linenumber = 1 GROUP BY 1, 2) t GROUP BY 1"""))
+def differing_loops(spark, sf_dir):
+    """Claims whose amount is edited, and first lines that lose their price."""
+    x = lake(spark, sf_dir)
+    clean = x.located
+    changed = edits.set_element(clean, (F.col("seg_id") == "CLM") & (element(1).cast("bigint") % 10 == 0), 2, F.lit("0"))
+    fives = claim_numbers(x).where("claim % 10 = 5").select("file_id", "loop_inst")
+    lines = clean.where((F.col("seg_id") == "LX") & (element(1) == "1")).select(
+        "file_id", "pos", F.element_at("path_inst", -2).alias("loop_inst")).join(fives, ["file_id", "loop_inst"])
+    doomed = lines.select("file_id", (F.col("pos") + 1).alias("pos")).withColumn("doomed", F.lit(True))
+    changed = changed.join(doomed, ["file_id", "pos"], "left").withColumn("elements", F.when(
+        F.col("doomed"), F.array(F.lit("SV1"))).otherwise(F.col("elements"))).drop("doomed")
+    return lookup.differing_loops(clean, changed).groupBy("file_id", "only_in", "loop_id").agg(
+        F.count("*").alias("loops"), F.sum("copies").alias("copies"))
+
+
 @query("envelope_counts", sql("""
 SELECT file_id, envelope, claimed, CAST(actual AS BIGINT) AS actual FROM (
   SELECT file_id, 'ST' AS envelope, CAST(15 + 2 * n_orders + 3 * n_lines AS VARCHAR) AS claimed, 15 + 2 * n_orders + 3 * n_lines AS actual FROM docs
@@ -735,6 +760,27 @@ def insert_segment(spark, sf_dir):
     return note.join(head, ["file_id", "claim"]).select("file_id", "claim", (F.col("note") - F.col("pos")).alias("gap"))
 
 
+@query("insert_loop", sql("""
+SELECT file_id, o_orderkey AS claim, CAST(3 * n_lines + 2 AS BIGINT) AS after, 2 * (15 + (
+  SELECT coalesce(sum(2 + 3 * b.n_lines + CASE WHEN b.o_orderkey % 2 = 0 THEN 3 ELSE 0 END), 0) FROM claims b
+  WHERE b.o_custkey = c.o_custkey AND b.o_orderkey < c.o_orderkey) + 2 + 3 * n_lines + 1) AS loop_inst
+FROM claims c WHERE o_orderkey % 2 = 0"""))
+def insert_loop(spark, sf_dir):
+    """A line more at the end of every second claim; the number of its loop as a reader of the new text would give it."""
+    x = lake(spark, sf_dir)
+    at = F.array_position(F.split("node", "/"), "2300").cast("int")
+    ends = x.located.where("contains(node, '2300')").groupBy("file_id", F.get("path_inst", at - 1).alias("claim_inst")).agg(
+        F.max("pos").alias("after"), F.max(F.when(F.col("seg_id") == "CLM", element(1))).alias("claim"))
+    lines = F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(i == 0).alias("opens"), F.array(*elements).alias("elements")) for i, elements in enumerate((
+        [F.lit("LX"), F.lit("99")], [F.lit("SV1"), F.lit("HC"), F.col("claim")], [F.lit("DTP"), F.lit("472"), F.lit("D8"), F.lit("20240101")]))])
+    new = ends.where(F.col("claim").cast("bigint") % 2 == 0).select(
+        "file_id", "after", F.lit("2300").alias("parent"), F.lit("2400").alias("node"), F.inline(lines))
+    out = edits.insert_loops(x.located, new)
+    added = out.where((F.col("seg_id") == "SV1") & (element(1) == "HC")).select(
+        "file_id", element(2).cast("bigint").alias("claim"), "loop_inst", F.element_at("path_inst", -2).alias("claim_inst"))
+    return added.select("file_id", "claim", ((F.col("loop_inst") - F.col("claim_inst")) / 2).cast("bigint").alias("after"), "loop_inst")
+
+
 @query("remove_segments", sql("SELECT file_id, 19 + 2 * n_orders + 2 * n_lines AS n FROM docs"))
 def remove_segments(spark, sf_dir):
     left = edits.remove_segments(lake(spark, sf_dir).located, F.col("seg_id") == "DTP")

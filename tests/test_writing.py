@@ -1,6 +1,7 @@
 import json
 from xml.etree import ElementTree
 
+import pytest
 import samples
 from pyspark.sql import functions as F
 
@@ -126,6 +127,52 @@ def test_edits(spark):
     assert order[order.index("NTE") - 1] == "CLM"
 
 
+NEW_LOOPS = [  # parent, node, opens, segment
+    ("2000B", "2300", True, "CLM*9*10.00***11:B:1*Y*A*Y*Y"), ("2000B", "2300", False, "HI*BK:1"), ("2000B", "2300/2400", True, "LX*1"),
+    ("2000B", "2300/2400", False, "SV1*HC:1*5.00*UN*1"), ("2000B", "2300/2400", False, "DTP*472*D8*20240101"),
+    ("2000B", "2300/2400", True, "LX*2"), ("2000B", "2300/2400", False, "SV1*HC:2*5.00*UN*1"),
+    ("2000B", "2300", True, "CLM*10*10.00***11:B:1*Y*A*Y*Y"), ("2000B", "2300", False, "HI*BK:1")]
+
+
+def inserted(spark, places, rows):
+    return spark.createDataFrame(
+        [(f, at, parent, i, node, opens, text.split("*")) for f, at in places for i, (parent, node, opens, text) in enumerate(rows)],
+        "file_id string, after long, parent string, seq int, node string, opens boolean, elements array<string>")
+
+
+def test_inserted_loops_are_numbered_as_if_they_had_been_read(spark, monkeypatch):
+    docs = {"a": samples.text(DOC), "b": samples.text(samples.document(samples.claim(1)), "|", "^", ">")}
+    monkeypatch.setattr(framing, "SLICE_SEGMENTS", 7)
+    located = samples.locate(spark, docs, long_documents=True).cache()
+    first = {f: [i for i, x in enumerate(docs[f].split(seg)) if x.startswith("DTP")][line] for f, seg, line in (("a", "~", 1), ("b", "|", 0))}
+    new = inserted(spark, first.items(), NEW_LOOPS).withColumn("elements", F.when(F.col("file_id") == "b", F.transform(
+        "elements", lambda e: F.replace(e, F.lit(":"), F.lit(">")))).otherwise(F.col("elements")))
+    out = edits.insert_loops(located, new).cache()
+    want = {}
+    for (f, t), (seg, ele, comp) in zip(docs.items(), ("~*:", "|^>")):
+        at, parts = first[f] + 1, t.split(seg)
+        want[f] = seg.join([*parts[:at], *[x.replace("*", ele).replace(":", comp) for *_, x in NEW_LOOPS], *parts[at:]])
+    columns = ["file_id", "pos", "seg_id", "elements", "loop_id", "node", "role", "path_inst", "loop_inst", "wrapped", "fault",
+               "isa_no", "gs_no", "st_no", "sep"]
+    assert samples.rows(out, *columns) == samples.rows(samples.locate(spark, want, long_documents=True), *columns)
+    pieces = writing.write_spec_order(out, samples.SPEC).orderBy("file_id", "piece").collect()
+    assert {f: "".join(r.text for r in pieces if r.file_id == f) for f in want} == want
+    gone = loops.link_parents(out).where("loop_id = '2300'").join(
+        out.where("seg_id = 'CLM' and elements[1] in ('9', '10')").select("file_id", "loop_inst"), ["file_id", "loop_inst"])
+    assert samples.rows(edits.renumber(edits.remove_loops(out, "2300", gone)), *columns) == samples.rows(located, *columns)
+
+
+def test_loops_without_a_place_fail(spark):
+    located = samples.locate(spark, {"a": DOC}).cache()
+    at = DOC.index("HI*BK:1")
+    for places, rows in (([("a", 9999)], NEW_LOOPS), ([("z", at)], NEW_LOOPS), ([("a", 1)], NEW_LOOPS), ([("a", at)], NEW_LOOPS[1:]),
+                         ([("a", at)], [*NEW_LOOPS, NEW_LOOPS[3]])):
+        with pytest.raises(Exception, match="no such place or parent|segment before its loop opens"):
+            edits.insert_loops(located, inserted(spark, places, rows)).collect()
+    none = inserted(spark, [("a", at)], NEW_LOOPS).where("false")
+    assert samples.rows(edits.insert_loops(located, none), *located.columns) == samples.rows(located, *located.columns)
+
+
 def test_lookups(spark):
     located = samples.locate(spark, {"a": DOC}).cache()
     loop_rows = loops.link_parents(located).cache()

@@ -1,9 +1,9 @@
 """Validation against the spec (V1-V10). Each check returns rows of ``errors``:
 ``file_id, isa_no, loop_id, loop_inst, pos, severity, code, message``.
 
-The spec side of every join is a broadcast of the spec's own tables. Segment checks (V1, V2, V6, V7) are
-projections over the located segments; V4 and V5 share one aggregate per loop instance; loop checks (V8, V9)
-aggregate per parent instance with map-side combine, so one parent with very many children is no hot spot.
+The spec side of every join is a broadcast of the spec's own tables. Segment checks (V1, V3-V7) are one pass,
+``check_segments``; loop checks (V8, V9) aggregate per parent instance with map-side combine, so one parent with very
+many children is no hot spot.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scan import exclusive_scan
 from ..specs.model import NOT_USED, REQUIRED, Spec
 from .loops import kept, link_parents, number_loop_iterations, structural_faults
 
@@ -68,12 +69,6 @@ def match_segments(located: DataFrame, spec: Spec, compat: bool = False) -> Data
             .withColumns({"seg_no": F.col("hit.seg_no"), "spec_pos": F.col("hit.spec_pos")}).drop("hit"))
 
 
-def check_known_segment(matched: DataFrame) -> DataFrame:
-    """V1."""
-    return _errors(matched.where(F.col("seg_no").isNull()), "V1",
-                   F.concat(F.lit("Unable to find a matching segment format in loop "), F.col("loop_id")))
-
-
 def check_codes(matched: DataFrame) -> DataFrame:
     """V2: the coded elements that no spec segment of that id accepts. These decide V1 and are not errors by
     themselves, so the columns are the element's own."""
@@ -86,79 +81,6 @@ def check_codes(matched: DataFrame) -> DataFrame:
         "file_id", "isa_no", "loop_id", "loop_inst", "pos", "seg_id", F.inline(bad))
 
 
-def check_order(matched: DataFrame) -> DataFrame:
-    """V3: the spec position must not fall within a loop. Only the narrow columns of matched segments are
-    shuffled, by loop instance."""
-    rows = matched.where(F.col("seg_no").isNotNull()).select(
-        "file_id", "isa_no", "loop_id", "loop_inst", "pos", "seg_id", "spec_pos")
-    before = F.lag("spec_pos").over(Window.partitionBy("file_id", "loop_inst").orderBy("pos"))
-    bad = rows.withColumn("before", before).where(F.col("before") > F.col("spec_pos"))
-    return _errors(bad, "V3", F.concat(F.lit("Segment "), F.col("seg_id"), F.lit(" in loop "), F.col("loop_id"),
-                                       F.lit(" is not in the correct position.")))
-
-
-def profile_loops(matched: DataFrame, spec: Spec) -> DataFrame:
-    """How often each spec segment was matched, per loop instance: one array of counts, indexed by ``seg_no``."""
-    width = max(len(node.segments) for node in spec.by_id().values())
-    counts = F.array(*[F.count(F.when(F.col("seg_no") == k, 1)) for k in range(width)])
-    return matched.groupBy("file_id", "isa_no", "loop_id", "loop_inst").agg(
-        F.min("pos").alias("pos"), counts.alias("counts"))
-
-
-def _check_profile(profile: DataFrame, spec: Spec, fails, code: str, text: str) -> DataFrame:
-    expected = [(loop_id, [(i, s.xid, s.usage == REQUIRED, -1 if s.max_use == UNBOUNDED else int(s.max_use))
-                           for i, s in enumerate(node.segments)])
-                for loop_id, node in spec.by_id().items() if node.segments]
-    table = F.broadcast(profile.sparkSession.createDataFrame(expected, PROFILE_DDL))
-    rows = profile.join(table, "loop_id").withColumn(
-        "bad", F.explode(F.filter("expected", lambda e: fails(e, F.get("counts", e["seg_no"])))))
-    return _errors(rows, code, F.concat(F.col("bad.seg_id"), F.lit(" in loop "), F.col("loop_id"), F.lit(text)))
-
-
-def check_required_segments(profile: DataFrame, spec: Spec) -> DataFrame:
-    """V4."""
-    return _check_profile(profile, spec, lambda e, n: e["required"] & (n == 0) & ~e["seg_id"].isin(*UNCOUNTED),
-                          "V4", " is required but not found")
-
-
-def check_segment_max_use(profile: DataFrame, spec: Spec, compat: bool = False) -> DataFrame:
-    """V5."""
-    def fails(e: Column, n: Column) -> Column:
-        over = (e["max_use"] >= 0) & (n > e["max_use"])
-        return over | ((e["max_use"] < 0) & (n == 0)) if compat else over
-    return _check_profile(profile, spec, fails, "V5", " appears too many times")
-
-
-def _check_required_positions(matched: DataFrame, profile: DataFrame, positions: str, code: str, noun: str) -> DataFrame:
-    def missing(rule: Column) -> Column:
-        return F.get(F.filter(rule[positions], lambda p: _token(F.col("elements"), p) == ""), F.lit(0))
-
-    gaps = F.filter(F.transform("rules", lambda r: F.struct(r["seg_no"].alias("rule_no"), missing(r).alias("at"))),
-                    lambda g: g["at"].isNotNull())
-    found = (matched.where(F.size(gaps) > 0)
-             .select("file_id", "isa_no", "loop_id", "loop_inst", "pos", "seg_id", "seg_no",
-                     F.size("elements").alias("n"), F.inline(gaps)))
-    # The rule applies if any segment of the loop was matched to it: the segment itself, or (rarely) another one.
-    own = found.where(F.col("seg_no") == F.col("rule_no"))
-    other = found.where(~F.coalesce(F.col("seg_no") == F.col("rule_no"), F.lit(False)))
-    used = profile.select("file_id", "loop_inst", F.posexplode("counts").alias("rule_no", "uses")).where("uses > 0")
-    other = other.join(used, ["file_id", "loop_inst", "rule_no"], "left_semi").select(*own.columns)
-    text = F.when(F.col("at") >= F.col("n"), F.concat(F.lit(f" {noun} at position "), F.col("at"), F.lit(" does not exist!!!!"))
-                  ).otherwise(F.concat(F.lit(f" is missing a required {noun} at "), F.col("at")))
-    return _errors(own.unionByName(other), code,
-                   F.concat(F.col("seg_id"), F.lit(" in loop "), F.col("loop_id"), text))
-
-
-def check_required_elements(matched: DataFrame, profile: DataFrame) -> DataFrame:
-    """V6."""
-    return _check_required_positions(matched, profile, "elements", "V6", "element")
-
-
-def check_required_composites(matched: DataFrame, profile: DataFrame) -> DataFrame:
-    """V7."""
-    return _check_required_positions(matched, profile, "composites", "V7", "composite element")
-
-
 def without_fatal(rows: DataFrame, fatal: DataFrame) -> DataFrame:
     """Loop checks run only for files without a fatal row."""
     return rows.join(fatal.select("file_id").distinct(), "file_id", "left_anti")
@@ -218,12 +140,31 @@ def check_required_child_loops(loops: DataFrame, spec: Spec) -> DataFrame:
                                         F.lit(" iteration #"), F.col("iteration")))
 
 
+def _merge_parts(rows: DataFrame, width: int) -> DataFrame:
+    """``before``, ``is_first`` and ``counts`` of the rows of long documents, over all parts of a loop instance."""
+    key = ["file_id", "loop_inst"]
+    long = rows.where("multi")
+    parts = long.groupBy(*key, "part").agg(
+        F.max_by("spec_pos", F.when(F.col("spec_pos").isNotNull(), F.col("pos"))).alias("last"), F.first("counts").alias("own"))
+    spread = parts.groupBy(*key).agg(
+        F.array(*[F.sum(F.get("own", F.lit(k))) for k in range(width)]).alias("total"),
+        F.min("part").alias("first_part"), F.count("*").alias("n")).where("n > 1").drop("n")
+    entry = exclusive_scan(parts.join(spread.select(*key), key, "left_semi"), key, "part", "last",
+                           lambda a, b: F.coalesce(b, a), F.lit(None), "int")
+    merged = long.join(entry.join(spread, key), [*key, "part"], "left").withColumns({
+        "before": F.coalesce("before", "entry"),
+        "is_first": F.col("is_first") & F.coalesce(F.col("part") == F.col("first_part"), F.lit(True)),
+        "counts": F.coalesce("total", "counts")})
+    return rows.where("not multi").unionByName(merged.select(*rows.columns))
+
+
 def check_segments(located: DataFrame, spec: Spec, compat: bool = False) -> DataFrame:
-    """V1 and V3-V7 together: one scan and one shuffle.
+    """V1 and V3-V7 together: one scan and, for documents of one part, one shuffle.
 
     Matching and the search for missing elements happen before the shuffle, so that only numbers travel, by loop
-    instance. Windows over the instance then give the spec position before each segment and the spec segments in
-    use; the first row of an instance carries the checks of the whole instance.
+    instance and part. Windows over these give the spec position before each segment and the spec segments in use; the
+    first row of an instance carries the checks of the whole instance. An instance with segments in several parts is
+    merged from a summary for each part, so a loop of any size is checked in pieces.
     """
     width = max(len(node.segments) for node in spec.by_id().values())
     expected = [(loop_id, [(i, s.xid, s.usage == REQUIRED, -1 if s.max_use == UNBOUNDED else int(s.max_use))
@@ -247,16 +188,16 @@ def check_segments(located: DataFrame, spec: Spec, compat: bool = False) -> Data
     matched = match_segments(located, spec, compat)
     missing = F.concat(gaps("elements", "V6", "element"), gaps("composites", "V7", "composite element"))
     rows = matched.select(
-        "file_id", "isa_no", "loop_id", "loop_inst", "pos", "seg_id", "seg_no", "spec_pos",
+        "file_id", "part", "multi", "isa_no", "loop_id", "loop_inst", "pos", "seg_id", "seg_no", "spec_pos",
         F.coalesce(missing, F.array().cast("array<struct<rule_no:int,code:string,text:string>>")).alias("gaps"))
-    whole = Window.partitionBy("file_id", "loop_inst")
+    whole = Window.partitionBy("file_id", "part", "loop_inst")
     so_far = whole.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.select(
         "*",
         F.last("spec_pos", ignorenulls=True).over(so_far).alias("before"),
         (F.col("pos") == F.min("pos").over(whole)).alias("is_first"),
         F.array(*[F.count(F.when(F.col("seg_no") == k, 1)).over(whole) for k in range(width)]).alias("counts"))
-    rows = rows.join(table, "loop_id", "left")
+    rows = _merge_parts(rows, width).join(table, "loop_id", "left")
 
     def item(code: Column, message: Column) -> Column:
         return F.struct(code.alias("code"), message.alias("message"))
@@ -287,6 +228,35 @@ def check_segments(located: DataFrame, spec: Spec, compat: bool = False) -> Data
     return rows.select("file_id", "isa_no", "loop_id", "loop_inst", "pos", F.lit("error").alias("severity"),
                        F.inline(F.concat(unknown, order, absent, F.coalesce(instance, none))))
 
+def check_known_segment(found: DataFrame) -> DataFrame:
+    """V1, of the rows of ``check_segments`` as the five below."""
+    return found.where("code = 'V1'")
+
+
+def check_order(found: DataFrame) -> DataFrame:
+    """V3: the spec position must not fall within a loop."""
+    return found.where("code = 'V3'")
+
+
+def check_required_segments(found: DataFrame) -> DataFrame:
+    """V4."""
+    return found.where("code = 'V4'")
+
+
+def check_segment_max_use(found: DataFrame) -> DataFrame:
+    """V5."""
+    return found.where("code = 'V5'")
+
+
+def check_required_elements(found: DataFrame) -> DataFrame:
+    """V6: a rule holds for the segments with its id if any segment of the loop was matched to it."""
+    return found.where("code = 'V6'")
+
+
+def check_required_composites(found: DataFrame) -> DataFrame:
+    """V7."""
+    return found.where("code = 'V7'")
+
 
 def collect_errors(located: DataFrame, spec: Spec, unreadable: DataFrame | None = None, compat: bool = False,
                    loops: DataFrame | None = None) -> DataFrame:

@@ -589,51 +589,46 @@ def _counted(errors: DataFrame) -> DataFrame:
     return errors.groupBy("file_id", "loop_id", "message").agg(F.count("*").alias("n"))
 
 
-def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validation.match_segments(lake(spark, sf_dir, "dirty").located, SPEC)
-
-
-def _profile(matched: DataFrame) -> DataFrame:
-    return validation.profile_loops(matched, SPEC)
+def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validation.check_segments(lake(spark, sf_dir, "dirty").located, SPEC)
 
 
 @query("check_known_segment", _check("V1"))
 def check_known_segment(spark, sf_dir):
-    return _counted(validation.check_known_segment(_matched(spark, sf_dir)))
+    return _counted(validation.check_known_segment(_found(spark, sf_dir)))
 
 
 @query("check_codes", sql("""
 SELECT file_id, 'SV1' AS seg_id, CAST(3 AS BIGINT) AS ele_seq, 'XX' AS value, count(*) AS n FROM dlin WHERE pdef = 53 GROUP BY 1""", FAULTS))
 def check_codes(spark, sf_dir):
-    return validation.check_codes(_matched(spark, sf_dir)).groupBy(
+    matched = validation.match_segments(lake(spark, sf_dir, "dirty").located, SPEC)
+    return validation.check_codes(matched).groupBy(
         "file_id", "seg_id", F.col("ele_seq").cast("bigint").alias("ele_seq"), "value").agg(F.count("*").alias("n"))
 
 
 @query("check_order", _check("V3"))
 def check_order(spark, sf_dir):
-    return _counted(validation.check_order(_matched(spark, sf_dir)))
+    return _counted(validation.check_order(_found(spark, sf_dir)))
 
 
 @query("check_required_segments", _check("V4"))
 def check_required_segments(spark, sf_dir):
-    return _counted(validation.check_required_segments(_profile(_matched(spark, sf_dir)), SPEC))
+    return _counted(validation.check_required_segments(_found(spark, sf_dir)))
 
 
 @query("check_segment_max_use", _check("V5"))
 def check_segment_max_use(spark, sf_dir):
-    return _counted(validation.check_segment_max_use(_profile(_matched(spark, sf_dir)), SPEC))
+    return _counted(validation.check_segment_max_use(_found(spark, sf_dir)))
 
 
 @query("check_required_elements", _check("V6"))
 def check_required_elements(spark, sf_dir):
-    matched = _matched(spark, sf_dir)
-    return _counted(validation.check_required_elements(matched, _profile(matched)))
+    return _counted(validation.check_required_elements(_found(spark, sf_dir)))
 
 
 @query("check_required_composites", _check("V7"))
 def check_required_composites(spark, sf_dir):
-    matched = _matched(spark, sf_dir)
-    return _counted(validation.check_required_composites(matched, _profile(matched)))
+    return _counted(validation.check_required_composites(_found(spark, sf_dir)))
 
 
 def _whole_loops(x: Lake) -> DataFrame:

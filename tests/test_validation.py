@@ -63,19 +63,60 @@ def test_a_fatal_fault_stops_the_loop_checks_but_not_the_segment_checks(spark):
                                                            "Parent loop 2300 is missing and should already exist"]
 
 
-def test_one_pass_equals_the_single_checks(spark):
-    located = samples.locate(spark, random_documents(120, 5)).cache()
-    matched = validation.match_segments(located, samples.SPEC).cache()
-    profile = validation.profile_loops(matched, samples.SPEC).cache()
-    single = (validation.check_known_segment(matched).unionByName(validation.check_order(matched))
-              .unionByName(validation.check_required_segments(profile, samples.SPEC))
-              .unionByName(validation.check_segment_max_use(profile, samples.SPEC))
-              .unionByName(validation.check_required_elements(matched, profile))
-              .unionByName(validation.check_required_composites(matched, profile)))
-    columns = validation.ERROR_COLUMNS
-    want = samples.rows(single, *columns, order=columns)
+def segment_errors(rows, compat=False):
+    """V1 and V3-V7 read off the rules, loop by loop."""
+    out, nodes, held = [], samples.SPEC.by_id(), {}
+    for r in sorted(rows, key=lambda r: r.pos):
+        if r.role in ("start", "body") and r.loop_id:
+            held.setdefault((r.file_id, r.loop_inst), []).append(r)
+    for (file_id, _), segs in held.items():
+        loop_id, before, hits = segs[0].loop_id, None, []
+        rules = nodes[loop_id].segments
+        token = lambda r, n: r.elements[n] if n < len(r.elements) else ""
+        add = lambda r, code, text: out.append((file_id, r.pos, code, text))
+        for r in segs:
+            hit = next((s for s in rules if s.xid == r.seg_id and all(
+                token(r, e.seq) in ("", *e.codes) for e in s.elements if e.codes)), None)
+            hits.append(hit)
+            if hit is None:
+                add(r, "V1", f"Unable to find a matching segment format in loop {loop_id}")
+            elif before is not None and before > int(hit.pos):
+                add(r, "V3", f"Segment {r.seg_id} in loop {loop_id} is not in the correct position.")
+            before = before if hit is None else int(hit.pos)
+        for s in rules:
+            n = sum(h is s for h in hits)
+            if s.usage == validation.REQUIRED and not n and s.xid not in validation.UNCOUNTED:
+                add(segs[0], "V4", f"{s.xid} in loop {loop_id} is required but not found")
+            if s.max_use != ">1" and n > int(s.max_use):
+                add(segs[0], "V5", f"{s.xid} in loop {loop_id} appears too many times")
+            for r in segs if n else ():
+                for code, noun, parts in (("V6", "element", s.elements), ("V7", "composite element", s.composites)):
+                    gap = next((p.seq for p in parts if p.usage == validation.REQUIRED and token(r, p.seq) == ""), None)
+                    if s.xid == r.seg_id and gap is not None:
+                        text = (f"{noun} at position {gap} does not exist!!!!" if gap >= len(r.elements)
+                                else f"is missing a required {noun} at {gap}")
+                        add(r, code, f"{r.seg_id} in loop {loop_id} {text}")
+    return sorted(out)
+
+
+COLUMNS = ["file_id", "pos", "code", "message"]
+
+
+@pytest.mark.parametrize("part", [16384, 5])
+def test_segment_checks_equal_a_direct_reading_in_one_part_or_many(spark, monkeypatch, part):
+    monkeypatch.setattr(framing, "SLICE_SEGMENTS", part)
+    documents = {**random_documents(60, 5), **{f"case {k}": samples.text(v) for k, (v, _) in CASES.items()}}
+    # a loop with segments of its own over many parts, some unknown, one out of order at the end
+    documents["wide"] = samples.text(samples.document(samples.claim(1, 0, ["REF*G1*1", "ZZZ*1"] * 20 + ["HI*BK:2", "NTE*ADD*1", "CLM*2"])))
+    located = samples.locate(spark, documents, long_documents=True).cache()
+    want = segment_errors(located.collect())
+    assert {code for _, _, code, _ in want} == {"V1", "V3", "V4", "V5", "V6", "V7"}
     assert len(want) > 100
-    assert samples.rows(validation.check_segments(located, samples.SPEC), *columns, order=columns) == want
+    found = validation.check_segments(located, samples.SPEC).cache()
+    assert samples.rows(found, *COLUMNS, order=COLUMNS) == want
+    single = [validation.check_known_segment, validation.check_order, validation.check_required_segments,
+              validation.check_segment_max_use, validation.check_required_elements, validation.check_required_composites]
+    assert sum(check(found).count() for check in single) == len(want)
 
 
 def test_compat_averages_repeats_and_reports_unused_segments(spark):
@@ -89,8 +130,7 @@ def test_compat_averages_repeats_and_reports_unused_segments(spark):
     assert sound == ["2010AA appears too many times"]
     assert "2010AA appears too many times" not in compat
     assert "HEADER appears too many times" not in sound
-    matched = validation.match_segments(located, samples.SPEC, True)
-    unused = validation.check_segment_max_use(validation.profile_loops(matched, samples.SPEC), samples.SPEC, True)
+    unused = validation.check_segment_max_use(validation.check_segments(located, samples.SPEC, True))
     assert "REF in loop 2300 appears too many times" in {r.message for r in unused.collect()}
 
 

@@ -1,7 +1,7 @@
 import samples
 from pyspark.sql import functions as F
 
-from edilake.operators import framing
+from edilake.operators import framing, loops
 from edilake.sources.files import decode
 
 
@@ -72,3 +72,13 @@ def test_malformed_bytes_are_replaced_or_read_as_latin1(spark):
     df = spark.createDataFrame([(bytearray(b"CAF\xc9*\xc3\xa9"),)], "content binary")
     assert df.select(decode(F.col("content"))).first()[0] == "CAF�*é"
     assert df.select(decode(F.col("content"), "ISO-8859-1")).first()[0] == "CAFÉ*Ã©"
+
+
+def test_no_array_of_a_text_is_made_again_to_be_filtered(spark):
+    # such a filter finds the delimiters of the whole text anew for every segment: time by the square of a document
+    framed = framing.frame(samples.raw(spark, {"a": samples.document(samples.claim(1))}), samples.SPEC.spec_id)
+    parts, spec = framing.cut_elements(framing.cut_segments(framed)), samples.SPEC
+    for rows in (framing.split_segments(framed), framing.name_elements(framing.split_elements(framing.split_segments(framed))),
+                 loops.number_envelopes(parts, False), loops.assign_loops(parts, spec, False), loops.assign_loops(parts, spec)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter" in line and "size(" in line]

@@ -213,6 +213,17 @@ def test_spec_survives_xml():
     assert (root.name, root.segments[0].elements[0].codes) == ("Root", ("X",))
 
 
+def test_no_row_holds_a_file_of_many_documents_whole(spark, tmp_path):
+    text = samples.text(DOC, line_break="\n")
+    n = (5 << 20) // len(text)
+    (tmp_path / "0.txt").write_text(text * n)
+    raw = files.read_edi(spark, str(tmp_path))
+    assert raw.agg(F.max(F.length("content"))).first()[0] <= 4 << 20
+    rows = framing.split_segments(framing.frame(raw, samples.SPEC.spec_id)).groupBy("file_id").agg(
+        F.count("*"), F.count(F.when(F.col("raw").startswith("ISA"), 1))).collect()
+    assert [tuple(r)[1:] for r in rows] == [(n * len(DOC), n)]
+
+
 def test_files_and_stream(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()

@@ -229,3 +229,35 @@ def test_rows_through_small_batches(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert samples.rows(samples.locate(spark, docs).where("seg_id = 'CLM'"), *columns) == [r for r in want if r[5] == "CLM"]
+
+
+def test_the_text_of_long_documents_comes_back_whole(spark):
+    elems = [["CLM", "1", "", "a b"], ["SV1"], ["", "x"], [""], ["é", "😀"]]
+    sep = ("~", "*", ":", "")
+    rows = spark.createDataFrame([(1, elems, len(elems), sep), (2, [], 0, sep), (3, [[""]], 1, ("|", "^", ">", ""))],
+                                 "id int, elems array<array<string>>, size long, sep struct<seg:string,ele:string,comp:string,line_break:string>")
+    back = rows.withColumn("text", loops._as_text()).drop("elems").withColumn("elems", loops._as_elements())
+    assert [r.elems for r in back.orderBy("id").collect()] == [elems, [], [[""]]]
+
+
+def test_parts_of_long_documents_are_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(framing, "SLICE_SEGMENTS", 7)
+    located = samples.locate(spark, random_documents(3, 1), long_documents=True)
+    plan = located._jdf.queryExecution().optimizedPlan().toString()
+    # the parts, read from their table, meet one small table of what is open before each
+    assert plan.count("text#") > 0 and not [x for x in plan.split("\n") if "Relation" in x and "elems#" in x]
+    assert sum("Relation" in x and "text#" in x for x in plan.split("\n")) == 1
+
+
+def test_scan_reads_its_items_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(n):
+        read.add(1)
+        return n
+
+    items = spark.range(500).select(F.lit("k").alias("k"), F.col("id").alias("at"), counted("id").alias("v")).repartition(3)
+    got = scan.exclusive_scan(items, ["k"], "at", "v", lambda a, b: a + b, F.lit(0).cast("bigint"), "bigint", fanout=10)
+    assert got.where("at = 499").first().entry == sum(range(499))
+    assert read.value == 500

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from edilake.operators import edits, framing, loops, lookup, writing
 from edilake.operators.lookup import Address
+from edilake.plans import claims, lake
 from edilake.plans.spec_xml import to_xml
 from edilake.specs.catalog import professional_claim
 from edilake.sources import files
@@ -324,3 +325,31 @@ def test_many_addresses_at_once(spark):
         alone = {(r.file_id, r.address): r.value for r in lookup.get_element(located, loop_rows, x).collect()}
         assert alone == {k: v for k, v in got.items() if k[1] == x.name}
     assert got["a", "5-0-0"] == "11" and got["b", "5-0-None"] == "11>B>1" and got["a", "5-0-9"] is None
+
+
+@pytest.mark.parametrize("longest", [16384, 40])
+def test_interchanges_of_a_long_document_that_fit_are_one_piece_each(spark, monkeypatch, longest):
+    monkeypatch.setattr(framing, "SLICE_SEGMENTS", 7)
+    monkeypatch.setattr(writing, "ROWS_PER_PIECE", longest)
+    interchanges = [samples.document(*[samples.claim(10 * i + j, j) for j in range(n)]) for i, n in enumerate((1, 9, 2))]
+    located = samples.locate(spark, {"a": samples.text([s for d in interchanges for s in d])}, long_documents=True).cache()
+    pieces = writing.write_spec_order(located, samples.SPEC, "LF").orderBy("isa_no", "piece").collect()
+    got = {}
+    for r in pieces:
+        assert r.multi
+        got.setdefault(r.isa_no, []).append(r.text)
+    assert ["".join(x) for x in got.values()] == [samples.text(d, line_break="\n") + "\n" for d in interchanges]
+    assert [len(x) for x in got.values()][::2] == [1, 1]
+    assert [r.piece for r in pieces if r.isa_no != 2] == [0, 0]
+    assert (len(got[2]) > 1) == (longest == 40)
+
+
+def test_queries_of_one_pass_store_no_segments(spark, monkeypatch):
+    monkeypatch.setattr(lake, "_lakes", {})
+    one_pass = ("has_loop", "append_element", "find_segments")
+    for name in one_pass:
+        claims.QUERIES[name][0](spark, "/root/testdata/sf0.001").count()
+    x = lake.lake(spark, "/root/testdata/sf0.001")
+    assert "located" not in x.__dict__ and "loops" in x.__dict__
+    again = loops.link_parents(x.located)
+    assert x.loops.exceptAll(again).isEmpty() and again.exceptAll(x.loops).isEmpty()

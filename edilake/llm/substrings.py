@@ -122,15 +122,23 @@ def deep_shallow_sort(data: bytes, starts: np.ndarray, depth: int, shallow: int
             out.append([int(own[0])])
         elif d >= min(shallow, depth - 7):
             out.extend(blind_trie(data, own.tolist(), depth))
+        elif len(own) <= SORT_AT:
+            # a part that fits the cache: all its groups go through a character together
+            group = np.zeros(len(own), np.int64)
+            for at in range(d, min(shallow, depth - 7), 8):
+                key = characters(own + at)
+                order = np.lexsort((key, group))
+                own, key, group = own[order], key[order], group[order]
+                group = np.concatenate((np.zeros(1, np.int64), np.cumsum((key[1:] != key[:-1]) | (group[1:] != group[:-1]))))
+            edges = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(own)]
+            members = own.tolist()
+            for x, y in zip(edges, edges[1:]):
+                if y - x == 1:
+                    out.append(members[x:y])
+                else:
+                    out.extend(blind_trie(data, members[x:y], depth))
         else:
             key = characters(own + d)
-            if len(own) <= SORT_AT:
-                # a part that fits the cache: all pivots at once
-                order = np.argsort(key, kind="stable")
-                own, key = own[order], key[order]
-                edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(own)]
-                stack.extend((own[x:y], d + 8) for x, y in zip(edges[-2::-1], edges[:0:-1], strict=True))
-                continue
             pivot = np.sort(key[[0, len(key) // 2, -1]])[1]
             for part, step in ((own[key > pivot], 0), (own[key == pivot], 8), (own[key < pivot], 0)):
                 if len(part):
@@ -138,11 +146,20 @@ def deep_shallow_sort(data: bytes, starts: np.ndarray, depth: int, shallow: int
     return out
 
 
-def _ranges(starts, window: int) -> list[dict]:
-    """Byte ranges that windows at the given starts cover."""
-    at = np.unique(np.asarray(starts, np.int64))
-    cut = np.flatnonzero(np.diff(at) > window) + 1
-    return [{"lo": int(p[0]), "hi": int(p[-1]) + window} for p in np.split(at, cut)] if len(at) else []
+def _shared(values: np.ndarray) -> np.ndarray:
+    """Whether each value is there more than once."""
+    ordered = np.sort(values)
+    again = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(again):
+        return np.zeros(len(values), bool)
+    # most values that are there once fall into a slot that no repeated one has
+    slots = np.zeros(1 << 16, bool)
+    slots[again >> np.uint64(48)] = True
+    out = slots[values >> np.uint64(48)]
+    at = np.flatnonzero(out)
+    place = np.minimum(np.searchsorted(again, values[at]), len(again) - 1)
+    out[at] = again[place] == values[at]
+    return out
 
 
 RANGES = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
@@ -158,16 +175,20 @@ def sorted_contexts(contexts: DataFrame, window: int) -> DataFrame:
         sums, inverse = tokens.prefix_sums(np.frombuffer(data, np.uint8)), tokens.powers(len(data) + 1)[1]
         with np.errstate(over="ignore"):
             digest = (sums[starts + window] - sums[starts]) * inverse[starts]
-        _, place, count = np.unique(digest, return_inverse=True, return_counts=True)
-        starts = starts[count[place] > 1]
+        starts = starts[_shared(digest)]
         if not len(starts):
             return []
         # a window can only equal one of the same anchor, and those have it at the same place
-        twice = [x for leaf in deep_shallow_sort(data, starts, window) if len(leaf) > 1 for x in leaf]
-        found: dict[int, list[int]] = {}
-        for x, i in zip(twice, np.searchsorted(begins, twice, side="right") - 1, strict=True):
-            found.setdefault(int(i), []).append(x - int(begins[i]))
-        return [(rows[i][0], rows[i][1], _ranges(o, window)) for i, o in sorted(found.items())]
+        twice = np.sort(np.array([x for leaf in deep_shallow_sort(data, starts, window) if len(leaf) > 1 for x in leaf], np.int64))
+        if not len(twice):
+            return []
+        owner = np.searchsorted(begins, twice, side="right") - 1
+        cut = np.flatnonzero((np.diff(twice) > window) | (np.diff(owner) > 0)) + 1
+        first, last = np.concatenate(([0], cut)), np.append(cut, len(twice)) - 1
+        found: dict[int, list[dict]] = {}
+        for i, lo, hi in zip(owner[first].tolist(), (twice[first] - begins[owner[first]]).tolist(), (twice[last] - begins[owner[last]] + window).tolist(), strict=True):
+            found.setdefault(i, []).append({"lo": lo, "hi": hi})
+        return [(rows[i][0], rows[i][1], o) for i, o in found.items()]
 
     def run(batches):
         held, size, last = [], 0, None

@@ -248,6 +248,24 @@ def test_deep_shallow_sort():
     assert [data[x[0]:x[0] + 40] for x in order] == sorted({data[i:i + 40] for i in range(600)}) and sorted(sum(order, [])) == list(range(600))
 
 
+def test_deep_shallow_sort_passes(monkeypatch):
+    # many small groups go through a character together, not one by one
+    rng, calls = np.random.default_rng(6), []
+    lines = [bytes(rng.integers(97, 123, 60).tolist()) for _ in range(300)]
+    data = b"".join(lines + lines)
+    for name in ("argsort", "lexsort"):
+        monkeypatch.setattr(np, name, lambda *a, _of=getattr(np, name), **k: (calls.append(1), _of(*a, **k))[1])
+    order = substrings.deep_shallow_sort(data, np.arange(0, len(data), 60), 60)
+    assert order == sorted(([i * 60, (i + 300) * 60] for i in range(300)), key=lambda x: data[x[0]:x[0] + 60]) and len(calls) <= 3
+
+
+def test_shared_values():
+    rng = np.random.default_rng(7)
+    for n, top in ((0, 9), (1, 9), (500, 1 << 63), (500, 40), (500, 400)):
+        values = rng.integers(0, top, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 if top < 1 << 20 else 1)
+        assert substrings._shared(values).tolist() == [c > 1 for c in map(collections.Counter(values.tolist()).get, values.tolist())]
+
+
 def test_lm(spark, odd, empty):
     docs = spark.createDataFrame(rows_of(["the cat sat", "the cat ran", "a dog ran", "the dog sat", None, ""]), DOCS)
     model = ngrams.build(docs)

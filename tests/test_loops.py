@@ -1,4 +1,5 @@
 import random
+import re
 
 import brute
 import pytest
@@ -261,3 +262,26 @@ def test_scan_reads_its_items_once(spark):
     got = scan.exclusive_scan(items, ["k"], "at", "v", lambda a, b: a + b, F.lit(0).cast("bigint"), "bigint", fanout=10)
     assert got.where("at = 499").first().entry == sum(range(499))
     assert read.value == 500
+
+
+def test_short_and_long_documents_part_before_they_are_ranked(spark):
+    rows = spark.range(40).select(F.format_string("f%d", F.col("id") % 2).alias("file_id"), (F.col("id") / 10).cast("int").alias("part"),
+                                  (F.col("id") % 2 == 1).alias("multi"), F.col("id").alias("loop_inst"), F.lit("x").alias("k")).localCheckpoint()
+    ranked = loops.rank_in_file(rows, ["k"], "loop_inst", "n")
+    got = {(r.file_id, r.loop_inst): r.n for r in ranked.collect()}
+    assert got == {(f, i): (i // 2 + 1 if f == "f1" else i // 2 - (i // 10 * 5) + 1) for i in range(40) for f in [f"f{i % 2}"]}
+    # no filter above a window: the rows that it drops would have been sorted and ranked for nothing
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    windows = [i for i, line in enumerate(plan) if "Window [" in line]
+    assert windows and not [i for i in windows if "Filter" in plan[i - 1]]
+    assert all("Filter" in "".join(plan[i + 1:i + 3]) for i in windows)
+
+
+def test_only_wrapped_segments_are_exploded_for_wrappers(spark):
+    located = samples.locate(spark, {"a": samples.document(samples.claim(1), samples.claim(2))}).localCheckpoint()
+    wrappers = loops.insert_wrappers(located)
+    assert [(r.loop_id, r.parent_id, r.is_wrapper) for r in wrappers.collect()] == [("DETAIL", "ST_LOOP", True)]
+    plan = wrappers._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "Generate " in line)
+    below = "".join(plan[at + 1:])
+    assert re.search(r"Filter .*wrapped", below) and "size(" not in below

@@ -353,3 +353,20 @@ def test_queries_of_one_pass_store_no_segments(spark, monkeypatch):
     assert "located" not in x.__dict__ and "loops" in x.__dict__
     again = loops.link_parents(x.located)
     assert x.loops.exceptAll(again).isEmpty() and again.exceptAll(x.loops).isEmpty()
+
+
+def test_renumbering_stores_no_segments_of_short_documents(spark, monkeypatch):
+    columns = ["file_id", "pos", "seg_id", "path_inst", "loop_inst"]
+    stored, real = [], edits.store
+    monkeypatch.setattr(edits, "store", lambda df, name: stored.append(df) or real(df, name))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        for longest in (16384, 7):
+            monkeypatch.setattr(framing, "SLICE_SEGMENTS", longest)
+            located = samples.locate(spark, {"a": DOC, "b": samples.document(samples.claim(1, 3))}, long_documents=True).cache()
+            left = edits.renumber(located.where("seg_id <> 'HI'"))
+            want = {k: [s for s in d if not s.startswith("HI")] for k, d in (("a", DOC), ("b", samples.document(samples.claim(1, 3))))}
+            assert samples.rows(left, *columns) == samples.rows(samples.locate(spark, want, long_documents=True), *columns)
+            assert all(df.isEmpty() for df in stored) == (longest > 7)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

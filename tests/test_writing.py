@@ -370,3 +370,17 @@ def test_renumbering_stores_no_segments_of_short_documents(spark, monkeypatch):
             assert all(df.isEmpty() for df in stored) == (longest > 7)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_differing_loops_are_found_without_sorting_segments(spark):
+    left = samples.locate(spark, {"a": DOC, "b": samples.document(samples.claim(1, 2), samples.claim(2))}).cache()
+    right = edits.set_element(left, (F.col("seg_id") == "LX") & (F.col("file_id") == "b") & (F.get("elements", F.lit(1)) == "2"), 1, F.lit("9"))
+    got = sorted((r.file_id, r.loop_id, r.only_in, r.copies) for r in lookup.differing_loops(left, right).collect())
+    assert got == [("b", "2400", "left", 1), ("b", "2400", "right", 1)]
+    assert lookup.differing_loops(left, left).isEmpty()
+    digests = lookup.loop_digests(left)
+    assert "SortAggregate" not in digests._jdf.queryExecution().executedPlan().toString()
+    assert digests.where("loop_id = 'ISA_LOOP'").count() == 2
+    # equal loops have equal digests wherever they stand
+    same = digests.where("loop_id = '2400'").groupBy(*lookup.DIGEST).agg(F.count("*").alias("n"))
+    assert same.agg(F.sum("n")).first()[0] == digests.where("loop_id = '2400'").count() and same.where("n > 1").count() > 0

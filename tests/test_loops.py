@@ -2,12 +2,14 @@ import random
 import re
 
 import brute
+import pyarrow as pa
 import pytest
 import samples
 from pyspark.sql import functions as F
 
 from edilake.functions import scan
 from edilake.operators import framing, loops
+from edilake.plans import walk
 from edilake.plans.automaton import Automaton
 from edilake.specs.catalog import all_specs, claim_acknowledgement, eligibility_response
 
@@ -284,3 +286,28 @@ def test_only_wrapped_segments_are_exploded_for_wrappers(spark):
     at = next(i for i, line in enumerate(plan) if "Generate " in line)
     below = "".join(plan[at + 1:])
     assert re.search(r"Filter .*wrapped", below) and "size(" not in below
+
+
+def test_parts_of_long_documents_are_walked_a_few_segments_at_a_time(spark, monkeypatch):
+    union, seen, real = loops.union_of((samples.SPEC,)), [], walk._Walk.steps
+    monkeypatch.setattr(walk._Walk, "steps", lambda self, sigs, *rest: seen.append(len(sigs)) or real(self, sigs, *rest))
+    parts, size = 20, 16384
+    sigs = pa.ListArray.from_arrays(pa.array(range(0, parts * size + 1, size), pa.int32()), pa.array([0] * parts * size, pa.int32()))
+    last = walk.last_paths(union).func(
+        sigs, pa.array(range(0, parts * size, size), pa.int64()), pa.array([3] * parts, pa.int32()))
+    assert len(last) == parts and len(set(map(str, last.to_pylist()))) == 1
+    assert max(seen) <= 1 << 16 and sum(seen) == parts * size
+
+    doc = samples.document(*[samples.claim(n, n % 4) for n in range(12)])
+    columns = ["file_id", "pos", "seg_id", "elements", "node", "role", "path_inst", "loop_inst", "isa_no", "gs_no", "st_no", "fault", "wrapped"]
+    whole = samples.rows(samples.locate(spark, {"a": doc, "b": doc + doc}), *columns)
+    monkeypatch.setattr(framing, "SLICE_SEGMENTS", 7)
+    for batch in (3, 10):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            located = samples.locate(spark, {"a": doc, "b": doc + doc}, long_documents=True)
+            # a worker gets segments, not parts
+            assert "array<struct<move" not in located._jdf.queryExecution().toString()
+            assert samples.rows(located, *columns) == whole
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

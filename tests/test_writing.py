@@ -384,3 +384,20 @@ def test_differing_loops_are_found_without_sorting_segments(spark):
     # equal loops have equal digests wherever they stand
     same = digests.where("loop_id = '2400'").groupBy(*lookup.DIGEST).agg(F.count("*").alias("n"))
     assert same.agg(F.sum("n")).first()[0] == digests.where("loop_id = '2400'").count() and same.where("n > 1").count() > 0
+
+
+def test_queries_of_packed_documents_store_no_whole_segments(spark, monkeypatch):
+    monkeypatch.setattr(lake, "_lakes", {})
+    for name in ("link_parents", "number_loop_iterations", "flatten"):
+        assert claims.QUERIES[name][0](spark, "/root/testdata/sf0.001").count()
+    assert "located" not in lake.lake(spark, "/root/testdata/sf0.001", "packed").__dict__
+    assert claims.QUERIES["insert_segment"][0](spark, "/root/testdata/sf0.001").count()
+    assert "located" not in lake.lake(spark, "/root/testdata/sf0.001").__dict__
+
+
+def test_lines_may_be_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([("a" * 5000,), ("b",)], "text string").repartition(1)
+    files.write_lines(rows, str(tmp_path / "x"), "gzip")
+    parts = list((tmp_path / "x").glob("part-*.gz"))
+    assert parts and sum(p.stat().st_size for p in parts) < 500
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "x")).collect()) == ["a" * 5000, "b"]
